@@ -59,6 +59,20 @@ def discard(df: DataFrame) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``doc``, beside ``columns``.
+
+    Working columns then never clash with those of the table; ``unpacked``
+    gives the rows back.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(whole, *[c.alias(name) for name, c in columns.items()])
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("doc.*")
+
+
 def prefix_sum(
     df: DataFrame,
     group: list[str],

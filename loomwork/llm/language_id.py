@@ -17,6 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loomwork.llm.common import materialize, packed
 
 ORDER = 4
 #: Training texts of a language, at most: those of the smallest id hashes.
@@ -210,15 +213,23 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> dict[str, list[str]]:
-    """At most ``sample`` texts of each language, the smallest id hashes first."""
-    usable = docs.where(~held_out(id_col)).where(F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull())
-    ids = usable.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.xxhash64(F.lit(SEED), id_col).alias("_h"))
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id"))
-    chosen = ids.withColumn("_rank", rank).where(F.col("_rank") <= sample).groupBy("_id").agg(F.min("_rank").alias("_rank"))
-    drawn = usable.join(F.broadcast(chosen), usable[id_col] == F.col("_id")).select(F.col(lang_col).alias("lang"), "_rank", F.col(text_col).alias("text"))
+    """At most ``sample`` texts of each language, the smallest id hashes first.
+
+    A language's count says below which hash its sample must lie, so that what
+    is ranked is a few times the sample, however large the language.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out"))
+    usable = rows.where("NOT out AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    narrow = materialize(usable.select("id", "lang", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 40)).alias("h")))
+    counts = narrow.groupBy("lang").agg(F.count("*").alias("n"))
+    limits = counts.select(F.col("lang").alias("_l"), F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), (F.lit(2.0 * sample) + 100) / F.col("n"))).alias("_limit"))
+    near = narrow.join(limits, F.col("lang") == F.col("_l")).where("h < _limit")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= sample).groupBy(F.col("id").alias("_id")).agg(F.min("rank").alias("rank"))
+    drawn = usable.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("lang", "rank", "text")
     out: dict[str, list[tuple[int, str]]] = {}
-    for lang, rank_, text in drawn.collect():  # bounded: sample texts a language
-        out.setdefault(lang, []).append((rank_, text))
+    for lang, place, text in drawn.collect():  # bounded: sample texts a language
+        out.setdefault(lang, []).append((place, text))
     return {lang: [t for _, t in sorted(rows)[:sample]] for lang, rows in out.items()}
 
 
@@ -229,16 +240,17 @@ def identify_languages(
     lang_col: str = "lang",
     sample: int = SAMPLE_PER_LANGUAGE,
     training: DataFrame | None = None,
-    keep: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, rejected), or ``docs`` plus them.
-
-    Learned from ``training`` (``docs`` if none): texts with a letter and a
-    language whose id's crc32 modulo 4 is not 2. A text that is null or has no
-    letter is ``und`` with score 0 and rejected, and so is every text if there
-    is nothing to learn from. Other texts get a learned language, also where
-    ``rejected`` says that no model fits. Repeated rows are predicted one by
-    one; with ``keep`` the columns are named _lang_pred, _score, _rejected.
+    """(doc_id, held_out, lang_pred, score, rejected) of every row.
+
+    With ``whole`` also ``doc``, the row as a struct. Learned from ``training``
+    (``docs`` if none): texts with a letter and a language whose id's crc32
+    modulo 4 is not 2. A text that is null or has no letter is ``und`` with
+    score 0 and rejected, and so is every text if there is nothing to learn
+    from. Other texts get a learned language, also where ``rejected`` says
+    that no model fits. Repeated rows are predicted one by one; a null id is
+    not held out.
     """
     texts = training_texts(docs if training is None else training, id_col, text_col, lang_col, sample)
     models = docs.sparkSession.sparkContext.broadcast(train(texts)) if texts else None  # bounded by the sample
@@ -246,7 +258,7 @@ def identify_languages(
     def predicted(column: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         lang, score, rejected = ["und"] * len(column), np.zeros(len(column)), np.ones(len(column), dtype=bool)
         streams = [symbols(t) if t else np.zeros(0, dtype=np.uint64) for t in column]
-        known = [i for i, s in enumerate(streams) if len(s) > 2 or (len(s) == 2 and (s != _SPACE).any())]
+        known = [i for i, s in enumerate(streams) if (s != _SPACE).any()]
         if known and models is not None:
             best, confidence, bad = models.value.predict([streams[i] for i in known])
             for i, b in zip(known, best.tolist()):
@@ -255,21 +267,15 @@ def identify_languages(
         return lang, score, rejected
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                batch = whole.slice(i, 512)
-                text = batch.column(batch.schema.get_field_index(text_name)).to_pylist()
-                lang, score, rejected = predicted(text)
-                columns = [batch.column(c) for c in range(batch.num_columns) if keep or c != batch.schema.get_field_index(text_name)]
-                names = [n for n in batch.schema.names if keep or n != text_name]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(lang), pa.array(score), pa.array(rejected)], [*names, *added])
-
-    if keep:
-        text_name, added = text_col, ["_lang_pred", "_score", "_rejected"]
-        rows = docs
-    else:
-        text_name, added = "_text", ["lang_pred", "score", "rejected"]
-        rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("_text"))
-    kept = [f for f in rows.schema.fields if keep or f.name != text_name]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{added[0]} string, {added[1]} double, {added[2]} boolean"])
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                lang, score, rejected = predicted(part.column(2).to_pylist())
+                columns = [part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), *part.columns[3:]]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+
+    inputs = {"doc_id": F.col(id_col).cast("long"), "held_out": held_out(id_col), "text": F.col(text_col)}
+    rows = packed(docs, **inputs).select(*inputs, *["doc"] * whole)
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
+    schema = T.StructType(fields + [rows.schema["doc"]] * whole)
     return rows.mapInArrow(run, schema)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import WORD_PATTERN, materialize, prefix_sum
+from loomwork.llm.common import WORD_PATTERN, materialize, packed, prefix_sum, unpacked
 
 WEIGHT_CYCLE = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
@@ -186,8 +186,7 @@ def mixed_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one without words, which no weight counts, stays once.
     """
     plan = mixed_documents(docs, id_col, text_col, source_col)
-    times = plan.groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_all"))
-    joined = docs.join(times.withColumnRenamed("doc_id", "_doc"), F.col(id_col).cast("long").eqNullSafe(F.col("_doc")), "left")
+    times = plan.groupBy(F.col("doc_id").alias("_doc")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_all"))
+    joined = packed(docs, _id=F.col(id_col).cast("long")).join(times, F.col("_id").eqNullSafe(F.col("_doc")), "left")
     copies = F.when(F.col("_all") > 0, F.round(F.col("_taken") / F.col("_all"))).otherwise(F.lit(1.0)).cast("int")
-    repeated = joined.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    return repeated.select(*docs.columns)
+    return unpacked(joined.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialize
+from loomwork.llm.common import materialize, packed, unpacked
 from loomwork.llm.components import FOREST_NODES, Forest, connected_components
 
 MAX_BITS = 4
@@ -254,9 +254,11 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     their group.
     """
     parts = materialize(simhash_components(docs, id_col, text_col))
-    kept = parts.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_times"))
-    seen = parts.groupBy(F.col("doc_id").alias("_seen")).agg(F.count("*").alias("_rows")).where("_rows > 1")
-    once = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    single = once.join(seen, once[id_col].cast("long").eqNullSafe(F.col("_seen")), "left_anti")
-    again = once.join(seen, once[id_col].cast("long").eqNullSafe(F.col("_seen")), "left_semi")
-    return single.unionByName(again.dropDuplicates([id_col]))
+    kept = parts.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    again = materialize(parts.groupBy(F.col("doc_id").alias("_seen")).agg(F.count("*").alias("_rows")).where("_rows > 1"))
+    rows = packed(docs, _id=F.col(id_col).cast("long")).join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
+    if not again.limit(1).count():
+        return unpacked(rows)
+    repeated = F.col("_id").eqNullSafe(F.col("_seen"))
+    first = rows.join(again, repeated, "left_semi").groupBy("_id").agg(F.first("doc").alias("doc"))
+    return unpacked(rows.join(again, repeated, "left_anti").select("doc").unionByName(first.select("doc")))

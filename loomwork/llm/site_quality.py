@@ -123,7 +123,8 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     sampled documents, at most ``sample`` of them.
     """
     chosen = materialize(labels.orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id").limit(sample))
-    rows = docs.join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("_id")).select(F.col(id_col).cast("long").alias("_id"), "_good", F.col(text_col).alias("_text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_good", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
