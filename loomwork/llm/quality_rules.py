@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialize
+from loomwork.llm.common import materialize, packed, unpacked
 
 BUCKETS = 1 << 15
 SMOOTHING = 1.0
@@ -29,8 +29,7 @@ _SPACES = "[\\x20\\x09-\\x0D]+"
 
 def words_of(text: Column) -> Column:
     """Words of a text as an array: split at ASCII white space, null as empty."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
-    return F.when(F.length(trimmed) > 0, F.split(trimmed, _SPACES)).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SPACES), "")
 
 
 def feature_buckets(words: Column, buckets: int = BUCKETS) -> Column:
@@ -40,8 +39,8 @@ def feature_buckets(words: Column, buckets: int = BUCKETS) -> Column:
         return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
     def both(w: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: place(F.get(w, i - 1), F.get(w, i)))
-        return F.concat(F.transform(w, lambda x: place(x)), F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<int>")))
+        pairs = F.slice(F.transform(w, lambda x, i: place(x, F.get(w, i + 1))), F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))
+        return F.concat(F.transform(w, lambda x: place(x)), pairs)
 
     return bind(words, both)
 
@@ -55,7 +54,7 @@ def repeated_words(words: Column) -> Column:
     """
 
     def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), F.lit(1), F.size(w) - 2)
 
     def covered(hashes: Column) -> Column:
         placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -138,15 +137,16 @@ def quality_verdicts(
     """(row, doc_id, base columns, llr, kept): one row per row of ``docs``.
 
     ``row`` is unique within one evaluation. A null or empty text has no words
-    and fails the base rules; its ratio is 0, as is every ratio if there are
-    no trusted documents. Repeated rows and null ids are decided one by one.
+    and fails the base rules. The ratio of what fails them is not computed and
+    is 0, as is every ratio if there are no trusted documents. Repeated rows and null ids are decided one by one.
     """
     weights = bucket_weights(docs, trusted, id_col, text_col, sample=sample)
     extra = extra or []
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"), *extra)
     based = base_columns(rows, "_text").drop("_text")
     names = ["row", "doc_id", *extra, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    featured = based.select(*names, F.explode_outer(feature_buckets(F.col("_words"))).alias("bucket"))
+    found = F.when(~F.col("base_failed"), feature_buckets(F.col("_words")))  # the verdict of the others is known
+    featured = based.select(*names, F.explode_outer(found).alias("bucket"))
     scored = featured.join(F.broadcast(weights), "bucket", "left")  # one row a bucket
     mean = scored.groupBy("row").agg(*[F.first(c).alias(c) for c in names[1:]], F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr"))
     return mean.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
@@ -164,9 +164,8 @@ def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     joined by id and by a 64-bit hash of the text; the text itself is read
     again, not carried through the scoring.
     """
-    mark = lambda: F.xxhash64(F.col(text_col))
-    verdicts = quality_verdicts(docs.withColumn("_mark", mark()), trusted, id_col, text_col, extra=["_mark"])
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_m")).distinct()
-    marked = docs.withColumn("_mark", mark())
-    match = marked[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m"))
-    return marked.join(kept, match, "left_semi").select(*docs.columns)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(F.col(text_col)).alias("_mark"))
+    verdicts = quality_verdicts(rows, trusted, "_id", "_text", extra=["_mark"])
+    kept = verdicts.where("kept").select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m")).distinct()
+    marked = packed(docs, _id=F.col(id_col).cast("long"), _mark=F.xxhash64(F.col(text_col)))
+    return unpacked(marked.join(kept, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left_semi"))
