@@ -2,8 +2,9 @@
 
 Words and word pairs are hashed to buckets. One multinomial is fitted on
 trusted documents, one on the whole raw corpus; a document's ratio is the mean
-log of their quotient over its features. Every document is decided by a fixed
-threshold. DataFrame functions only.
+log of their quotient over its features. Every document is decided by one
+threshold, set below the ratios of trusted documents that were kept out of the
+fit. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -15,11 +16,14 @@ from loomwork.llm.common import materialize, packed, unpacked
 
 BUCKETS = 1 << 15
 SMOOTHING = 1.0
-#: Kept from this mean log ratio on.
-THRESHOLD = -0.08
-#: Documents that the trusted multinomial is fitted on, at most: those of the
-#: smallest id hashes among the trusted. The raw one is of all documents.
+#: The threshold lies below the lowest hundredth of the ratios of trusted
+#: documents outside the fit: by their distance to the median, and by this.
+MARGIN = 0.04
+#: Trusted documents that fit the multinomial and the threshold, at most: those
+#: of the smallest id hashes. The raw multinomial is of all documents.
 TRUSTED_SAMPLE = 20_000
+#: One of so many trusted documents sets the threshold, the others the multinomial.
+CALIBRATE_EVERY = 5
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SEED = 5
@@ -57,12 +61,12 @@ def repeated_words(words: Column) -> Column:
         return F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), F.lit(1), F.size(w) - 2)
 
     def covered(hashes: Column) -> Column:
-        placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         same = lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False))
 
         def places(rows: Column) -> Column:
             twice = F.filter(rows, lambda x, k: same(x, F.get(rows, k - 1)) | same(x, F.get(rows, k + 1)))
-            return F.array_sort(F.transform(twice, lambda x: x["i"]))
+            return F.sort_array(F.transform(twice, lambda x: x["i"]))
 
         def count(starts: Column) -> Column:
             gaps = F.transform(starts, lambda s, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - s, F.lit(3))))
@@ -105,67 +109,90 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     return measured.withColumn("base_failed", failed)
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, sample: int = TRUSTED_SAMPLE) -> DataFrame:
+def chosen_ids(trusted: DataFrame, sample: int = TRUSTED_SAMPLE) -> DataFrame:
+    """(id, fits): at most ``sample`` distinct ids of the first column, and their part."""
+    ids = trusted.select(F.col(trusted.columns[0]).cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
+    spread = F.xxhash64(F.lit(SEED), "_id")
+    return materialize(ids.orderBy(spread, "_id").limit(sample).select("_id", (F.pmod(spread, F.lit(CALIBRATE_EVERY)) != 0).alias("_fits")))
+
+
+def bucket_weights(rows: DataFrame, chosen: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight): log of the trusted over the raw share, smoothed.
 
-    Every bucket has a row. ``trusted`` has ids in its first column, repeats allowed.
+    ``rows`` is (_doc, _text); every bucket has a row in the result.
     """
-    ids = trusted.select(F.col(trusted.columns[0]).cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64(F.lit(SEED), "_id"), "_id").limit(sample)  # a bounded number of longs
-    rows = docs.select(F.col(id_col).cast("long").alias("_doc"), F.explode(feature_buckets(words_of(F.col(text_col)), buckets)).alias("bucket"))
-    flagged = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"), "left")
-    counts = flagged.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_id").alias("good"))
-    known = materialize(counts)
+    found = rows.select("_doc", F.explode(feature_buckets(words_of(F.col("_text")), buckets)).alias("bucket"))
+    fit = chosen.where("_fits").select("_id")
+    flagged = found.join(F.broadcast(fit), F.col("_doc") == F.col("_id"), "left")  # at most the sample's ids
+    known = materialize(flagged.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_id").alias("good")))
     totals = known.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    spark = docs.sparkSession
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    every = rows.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(known, "bucket", "left").na.fill(0, ["raw", "good"])
     share = lambda c, n: (F.col(c) + F.lit(SMOOTHING)) / F.lit(float(n) + SMOOTHING * buckets)
     weight = F.log(share("good", totals["good"]) / share("raw", totals["raw"])) if totals["good"] else F.lit(0.0)
-    return materialize(filled.select("bucket", weight.alias("weight")))
-
-
-def quality_verdicts(
-    docs: DataFrame,
-    trusted: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = THRESHOLD,
-    sample: int = TRUSTED_SAMPLE,
-    extra: list[str] | None = None,
-) -> DataFrame:
-    """(row, doc_id, base columns, llr, kept): one row per row of ``docs``.
-
-    ``row`` is unique within one evaluation. A null or empty text has no words
-    and fails the base rules. The ratio of what fails them is not computed and
-    is 0, as is every ratio if there are no trusted documents. Repeated rows and null ids are decided one by one.
+    return materialize(filled.select("bucket", weight.cast("float").alias("weight")))
+
+
+def fit_rules(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, sample: int = TRUSTED_SAMPLE) -> tuple[DataFrame, float]:
+    """(weights, threshold); without trusted documents outside the fit the threshold keeps all."""
+    rows = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
+    chosen = chosen_ids(trusted, sample)
+    weights = bucket_weights(rows, chosen)
+    others = chosen.where("NOT _fits").select("_id")
+    apart = rows.join(F.broadcast(others), F.col("_doc") == F.col("_id")).select("_text")  # at most the sample's ids
+    ratio = F.when(~F.col("base_failed"), F.col("llr"))  # no filter, which would be pushed below the join
+    low, middle = judged(apart, weights, "_text", 0.0).agg(F.percentile(ratio, F.lit(0.01)), F.percentile(ratio, F.lit(0.5))).first()
+    return weights, float("-inf") if low is None else 2 * low - middle - MARGIN
+
+
+def weight_table(weights: DataFrame) -> Column:
+    """The weights in bucket order, one number a bucket, as a scalar subquery."""
+    ordered = F.sort_array(F.collect_list(F.struct("bucket", "weight")))
+    return weights.agg(F.transform(ordered, lambda x: x["weight"]).alias("w")).scalar()
+
+
+def mean_weight(buckets: Column, table: Column) -> Column:
+    """Mean weight of a document's features; 0 without any."""
+
+    def mean(found: Column) -> Column:
+        return bind(table, lambda w: F.aggregate(found, F.lit(0.0), lambda acc, b: acc + F.get(w, b).cast("double")) / F.nullif(F.size(found), F.lit(0)))
+
+    return F.coalesce(bind(buckets, mean), F.lit(0.0))
+
+
+def judged(rows: DataFrame, weights: DataFrame, text: str, threshold: float) -> DataFrame:
+    """``rows`` plus the base columns, llr and kept; no row moves.
+
+    The ratio of what fails the base rules is not computed and is 0.
     """
-    weights = bucket_weights(docs, trusted, id_col, text_col, sample=sample)
-    extra = extra or []
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"), *extra)
-    based = base_columns(rows, "_text").drop("_text")
-    names = ["row", "doc_id", *extra, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    found = F.when(~F.col("base_failed"), feature_buckets(F.col("_words")))  # the verdict of the others is known
-    featured = based.select(*names, F.explode_outer(found).alias("bucket"))
-    scored = featured.join(F.broadcast(weights), "bucket", "left")  # one row a bucket
-    mean = scored.groupBy("row").agg(*[F.first(c).alias(c) for c in names[1:]], F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr"))
-    return mean.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
+    # the analyzer wants it as a column of its own; its size is fixed
+    based = base_columns(rows, text).withColumn("_weights", weight_table(weights))
+    llr = F.when(F.col("base_failed"), F.lit(0.0)).otherwise(mean_weight(feature_buckets(F.col("_words")), F.col("_weights")))
+    scored = based.withColumn("llr", llr).drop("_words", "_weights")
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Ids of the documents labelled good and not toxic."""
-    return labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(id_col)
+def quality_verdicts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = TRUSTED_SAMPLE) -> DataFrame:
+    """(doc_id, base columns, llr, kept): one row per row of ``docs``.
+
+    ``trusted`` has ids in its first column; repeats and nulls are allowed. A
+    null or empty text has no words and fails the base rules. The ratio of
+    what fails them is 0, as is every ratio if there are no trusted documents.
+    Repeated rows and null ids are decided one by one.
+    """
+    weights, threshold = fit_rules(docs, trusted, id_col, text_col, sample)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    return judged(rows, weights, "_text", threshold).drop("_text")
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that the rules reject, all columns kept.
+    """``docs`` without the rows that the rules reject, all columns kept."""
+    weights, threshold = fit_rules(docs, trusted, id_col, text_col)
+    # the row number keeps the filter above the verdict, which it would otherwise repeat
+    decided = judged(packed(docs, _text=F.col(text_col)), weights, "_text", threshold).withColumn("_row", F.monotonically_increasing_id())
+    return unpacked(decided.where("kept"))
 
-    Rows with the same id and text get the same verdict, so the verdicts are
-    joined by id and by a 64-bit hash of the text; the text itself is read
-    again, not carried through the scoring.
-    """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(F.col(text_col)).alias("_mark"))
-    verdicts = quality_verdicts(rows, trusted, "_id", "_text", extra=["_mark"])
-    kept = verdicts.where("kept").select(F.col("doc_id").alias("_d"), F.col("_mark").alias("_m")).distinct()
-    marked = packed(docs, _id=F.col(id_col).cast("long"), _mark=F.xxhash64(F.col(text_col)))
-    return unpacked(marked.join(kept, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left_semi"))
+
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Ids of the documents labelled good and not toxic."""
+    return labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(id_col)

@@ -67,7 +67,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality_rules.trusted_ids(read_table(spark, sf_dir, "labels"))
-    return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"), trusted).drop("row")
+    return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"), trusted)
 
 
 def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
