@@ -96,12 +96,11 @@ _PLAIN, _MARKED = text.accent_pairs()
 
 
 @query(
-    f"""SELECT doc_id, trim(regexp_replace(lower(translate(split_part(text, chr(10), 1), '{_MARKED}', '{_PLAIN}')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || '|' || lower(lang) AS name_key FROM documents"""
+    f"""SELECT doc_id, trim(regexp_replace(lower(translate(text, '{_MARKED}', '{_PLAIN}')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || '|' || lower(lang) AS name_key FROM documents"""
 )
 def name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised key of a name and its country code."""
-    first_line = F.split_part("text", F.lit("\n"), F.lit(1))
-    return table(spark, sf_dir, "documents").select("doc_id", text.name_key(first_line, F.col("lang")).alias("name_key"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.name_key(F.col("text"), F.col("lang")).alias("name_key"))
 
 
 @query(

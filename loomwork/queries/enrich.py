@@ -19,12 +19,12 @@ def _mask_sql() -> str:
 
 
 @query(
-    """SELECT doc_id AS id, concat_ws(' ', coalesce('EN ' || t.title, d.title), d.body) AS full_text FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title, lang AS body FROM documents) d
+    """SELECT doc_id AS id, concat_ws(' ', coalesce('EN ' || t.title, d.title), d.body) AS full_text FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title, text AS body FROM documents) d
     LEFT JOIN (SELECT doc_id AS tid, max(quality) || '/' || max(toxic) AS title FROM labels GROUP BY 1) t ON tid = doc_id WHERE concat_ws(' ', coalesce('EN ' || t.title, d.title), d.body) <> ''"""
 )
 def doc_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full text of fields, a sparse translation taking the place of its field."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("lang").alias("body"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("body"))
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.concat(F.lit("EN "), F.max("quality"), F.lit("/"), F.max("toxic")).alias("text_en"))
     return enrich.full_text(docs, ["title", "body"], labels.withColumn("field", F.lit("title")))
 
@@ -124,12 +124,12 @@ def relation_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT 'work' AS type, source_id, topic_id, round(score, 4) AS score FROM (SELECT p_partkey AS source_id, p_size AS topic_id, max(p_retailprice) AS score FROM part JOIN lineitem ON l_partkey = p_partkey
-      WHERE l_quantity > 49 GROUP BY 1, 2) WHERE source_id IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1)"""
+      GROUP BY 1, 2) WHERE source_id IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1)"""
 )
 def relation_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic links, one row a pair, stale ids dropped by a semi join."""
     lines = table(spark, sf_dir, "lineitem")
-    pairs = table(spark, sf_dir, "part").join(lines.where("l_quantity > 49"), F.col("l_partkey") == F.col("p_partkey"))
+    pairs = table(spark, sf_dir, "part").join(lines, F.col("l_partkey") == F.col("p_partkey"))
     unique = pairs.groupBy(F.col("p_partkey").alias("source_id"), F.col("p_size").alias("topic_id")).agg(F.max("p_retailprice").alias("score"))
     alive = lines.where("l_linenumber = 1").select(F.col("l_partkey").alias("source_id"))
     return unique.join(alive, "source_id", "left_semi").select(F.lit("work").alias("type"), "source_id", "topic_id", F.round("score", 4).alias("score"))
@@ -145,12 +145,13 @@ def tag_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.supported_tags(lines, [("R1", F.col("l_returnflag") == "R"), ("R2", F.col("l_discount") >= 0.05)])
 
 
-@query(f"WITH {_TAGS} SELECT id, list_sort(list(key)) AS keys FROM tags WHERE NOT (id % 3 = 0 AND key = 2) GROUP BY id")
+@query(f"WITH {_TAGS} SELECT id, list_sort(list(key)) AS keys FROM tags WHERE NOT (r AND key = 2) GROUP BY id")
 def deny_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag lists without denied pairs; emptied rows go."""
-    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), (F.col("l_suppkey") % 7).alias("key")).distinct()
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), (F.col("l_suppkey") % 7).alias("key"), "l_returnflag")
+    pairs = lines.select("id", "key").distinct()
     tags = pairs.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    return enrich.deny(tags, pairs.where("id % 3 = 0 AND key = 2"))
+    return enrich.deny(tags, lines.where("l_returnflag = 'R' AND key = 2").select("id", "key").distinct())
 
 
 @query(

@@ -123,10 +123,10 @@ def _works(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, F.Co
     dates = lines.groupBy(F.col("l_partkey").alias("_p")).agg(F.max(F.col("l_shipdate").cast("date")).alias("last_date"))
     works = table(spark, sf_dir, "part").join(dates, F.col("p_partkey") == F.col("_p"), "left").select(F.col("p_partkey").alias("id"), "last_date", "p_type")
     tiers = graph.link_tiers([lines.where("l_linenumber = 1").select("l_partkey"), lines.where("l_linenumber > 1 AND l_quantity > 25").select("l_partkey")])
-    return works, tiers, F.contains(F.col("p_type"), F.lit("BRASS"))
+    return works, tiers, F.contains(F.col("p_type"), F.lit("ECONOMY"))
 
 
-_RANK = f"""w AS (SELECT p_partkey AS id, p_type LIKE '%BRASS%' AS has_text, CASE WHEN d <= DATE '{TODAY}' THEN d END AS sort_date
+_RANK = f"""w AS (SELECT p_partkey AS id, p_type LIKE '%ECONOMY%' AS has_text, CASE WHEN d <= DATE '{TODAY}' THEN d END AS sort_date
       FROM part LEFT JOIN (SELECT l_partkey, max(l_shipdate::DATE) AS d FROM lineitem GROUP BY 1) ON l_partkey = p_partkey),
     tier AS (SELECT id, min(t)::SMALLINT AS link_tier FROM (SELECT l_partkey AS id, 0 AS t FROM lineitem WHERE l_linenumber = 1
       UNION ALL SELECT l_partkey, 1 FROM lineitem WHERE l_linenumber > 1 AND l_quantity > 25) GROUP BY id),

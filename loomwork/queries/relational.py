@@ -115,9 +115,9 @@ def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.share_of_total(table(spark, sf_dir, "documents"), ["source"])
 
 
-@query("SELECT o_custkey % 50 AS k, count(*) AS n, sum(count(*)) OVER (ORDER BY count(*) DESC)::BIGINT AS cumulative FROM orders GROUP BY 1")
+@query("SELECT o_custkey AS k, count(*) AS n, sum(count(*)) OVER (ORDER BY count(*) DESC)::BIGINT AS cumulative FROM orders GROUP BY 1")
 def cumulative_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prof.cumulative_share(table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("k")), "k")
+    return prof.cumulative_share(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), "k")
 
 
 _MIX = "(({id} % 2147483647) + {seed}) * 48271 % 2147483647"
@@ -143,12 +143,12 @@ def connected_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH g AS (SELECT (o_custkey % 2)::INTEGER AS t, o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (ORDER BY t, d DESC NULLS LAST) AS upto FROM g)
+    """WITH g AS (SELECT (CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END)::INTEGER AS t, o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (ORDER BY t, d DESC NULLS LAST) AS upto FROM g)
     SELECT cap::INTEGER AS cap, t AS cutoff_tier, d::VARCHAR AS cutoff_date, (upto - n)::BIGINT AS kept_before FROM r, (VALUES (1000), (5000), (12000)) c(cap) WHERE upto - n < cap AND upto >= cap"""
 )
 def cap_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where caps of three sizes would cut, from counts by tier and date."""
-    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 2).cast("int").alias("t"), F.col("o_orderdate").cast("date").alias("d"))
+    o = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).alias("t"), F.col("o_orderdate").cast("date").alias("d"))
     return prof.cap_simulation(o, "t", "d", [1000, 5000, 12000]).withColumn("cutoff_date", F.date_format("cutoff_date", "yyyy-MM-dd"))
 
 
@@ -166,9 +166,9 @@ def union_of_tops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dear.unionAll(o.orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10).select("o_orderkey", F.lit("late")))
 
 
-@query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")).subtract(table(spark, sf_dir, "orders").where("o_totalprice > 200000").select("o_custkey"))
 
 
 @query(
@@ -210,13 +210,13 @@ def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_missing(upsert(old, new.join(known, "id", "left_semi"), ["id"]), more, ["id"])
 
 
-@query("SELECT date_trunc('hour', ts)::VARCHAR AS hour, user_id % 10 AS shard, count(*) AS n, max(event_id) AS last_id FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 3 DAY - INTERVAL 5 SECOND FROM events) GROUP BY 1, 2")
+@query("SELECT date_trunc('hour', ts)::VARCHAR AS hour, event_type, count(*) AS n, max(event_id) AS last_id FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 3 DAY - INTERVAL 5 SECOND FROM events) GROUP BY 1, 2")
 def checkpoint_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events after a checkpoint less five seconds, by hour and shard."""
+    """Events after a checkpoint less five seconds, by hour and type."""
     e = table(spark, sf_dir, "events")
     last = e.agg(F.max("ts").alias("m")).first()["m"]
     late = e.where(F.col("ts") >= F.lit(last) - F.expr("INTERVAL '3 00:00:05' DAY TO SECOND"))
-    return late.groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("hour"), (F.col("user_id") % 10).alias("shard")).agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+    return late.groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
 
 
 @query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

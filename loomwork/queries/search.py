@@ -42,12 +42,12 @@ def facet_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey AS id, p_name AS name, round(ln(1.0 + p_size), 6) AS score FROM part WHERE len(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: starts_with(x, '1'))) > 0
-    AND list_contains(regexp_extract_all(lower(p_name), '[a-z0-9]+'), 'part') ORDER BY score DESC, id LIMIT 8"""
+    """SELECT p_partkey AS id, p_name AS name, round(ln(1.0 + p_size), 6) AS score FROM part WHERE len(list_filter(regexp_extract_all(lower(p_name), '[a-z0-9]+'), lambda x: starts_with(x, 'w'))) > 0
+    AND list_contains(regexp_extract_all(lower(p_name), '[a-z0-9]+'), 'red') ORDER BY score DESC, id LIMIT 8"""
 )
 def autocomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type-ahead: all words but the last equal, the last a prefix; ranked by a log."""
-    return tq.autocomplete(table(spark, sf_dir, "part"), "p_partkey", "p_name", "part 1", F.round(F.log(F.col("p_size") + 1.0), 6))
+    return tq.autocomplete(table(spark, sf_dir, "part"), "p_partkey", "p_name", "red w", F.round(F.log(F.col("p_size") + 1.0), 6))
 
 
 _VOC = "voc AS (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents) GROUP BY 1)"
@@ -63,11 +63,15 @@ def fuzzy_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tq.expansions(voc, "licnese")
 
 
-@query(f"SELECT doc_id AS id FROM (SELECT doc_id, {_PAD} AS t FROM documents) WHERE contains(t, ' license ')")
+@query(
+    f"""WITH {_VOC}, near AS (SELECT token FROM (SELECT token, n, least(levenshtein(token, 'licnese'), 1 + least(levenshtein(token, 'lincese'), levenshtein(token, 'license'), levenshtein(token, 'licnsee'),
+      levenshtein(token, 'licnees'))) AS distance FROM voc WHERE starts_with(token, 'li') AND abs(length(token) - 7) <= 2) WHERE distance <= 2 ORDER BY distance, n DESC, token LIMIT 20)
+    SELECT doc_id AS id FROM (SELECT doc_id, {_PAD} AS t FROM documents) d WHERE EXISTS (SELECT 1 FROM near WHERE contains(d.t, ' ' || token || ' '))"""
+)
 def fuzzy_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A misspelt query falls back to close words."""
     docs = table(spark, sf_dir, "documents")
-    voc = tq.postings(docs, "doc_id", "text").groupBy("token").agg(F.count("*").alias("n")).where("token = 'license' OR n < 2 AND token LIKE 'zz%'")
+    voc = tq.postings(docs, "doc_id", "text").groupBy("token").agg(F.count("*").alias("n"))
     return tq.fuzzy_matches(docs, "doc_id", {"text": 1.0}, "licnese", voc)[1].select("id")
 
 

@@ -102,31 +102,31 @@ def works_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH t AS (SELECT s_nationkey AS id, p_size AS topic_id, p_name, l_extendedprice AS pred, l_orderkey, l_linenumber FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey WHERE l_quantity = 50)
-    SELECT id, n_name AS name, (SELECT left(string_agg(p_name, ' ' ORDER BY pred DESC, l_orderkey, l_linenumber), 300) FROM (SELECT * FROM t x WHERE x.id = t0.id ORDER BY pred DESC, l_orderkey, l_linenumber LIMIT 20)) AS blob,
-      (SELECT list(topic_id || ':' || n ORDER BY n DESC, topic_id) FROM (SELECT topic_id, count(*) AS n FROM t y WHERE y.id = t0.id GROUP BY 1)) AS topic_counts, count(DISTINCT l_orderkey) AS project_count
-    FROM t t0 JOIN nation ON n_nationkey = id GROUP BY 1, 2"""
+    """WITH t AS (SELECT s_nationkey AS id, p_size AS topic_id, p_name, l_extendedprice AS pred, l_orderkey, l_linenumber FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pred DESC, l_orderkey, l_linenumber) AS k FROM t)
+    SELECT id, n_name AS name, b.blob,
+      c.topic_counts, count(DISTINCT l_orderkey) AS project_count
+    FROM t JOIN nation ON n_nationkey = id JOIN (SELECT id, left(string_agg(p_name, ' ' ORDER BY k), 20000) AS blob FROM r WHERE k <= 200 GROUP BY 1) b USING (id)
+    JOIN (SELECT id, list(topic_id || ':' || n ORDER BY n DESC, topic_id) AS topic_counts FROM (SELECT id, topic_id, count(*) AS n FROM t GROUP BY 1, 2) GROUP BY 1) c USING (id) GROUP BY ALL"""
 )
 def groups_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a group: capped title blob, ordered topic counts, project count."""
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity = 50")
-    t = lines.join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+    t = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).join(table(spark, sf_dir, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
     t = t.select(F.col("s_nationkey").alias("id"), F.col("p_size").alias("topic_id"), "p_name", (-F.col("l_extendedprice")).alias("o"), "l_orderkey", "l_linenumber")
-    blob = docs.text_blob(t, "id", "p_name", ["o", "l_orderkey", "l_linenumber"], 20, 300)
+    blob = docs.text_blob(t, "id", "p_name", ["o", "l_orderkey", "l_linenumber"], 200, 20_000)
     counts = docs.key_counts(t, "id", "topic_id").select("id", F.transform("counts", lambda x: F.concat_ws(":", x["value"].cast("string"), x["n"].cast("string"))).alias("topic_counts"))
     projects = t.groupBy("id").agg(F.count_distinct("l_orderkey").alias("project_count"))
     named = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     return named.join(blob, "id").join(counts, "id").join(projects, "id")
 
 
-_STREAMS = """f AS (SELECT l_orderkey AS pid, l_shipdate, 'F' || (l_suppkey % 5) AS funder, CASE WHEN l_linenumber % 3 <> 0 THEN 'F' || (l_suppkey % 5) || '::' || p_brand || '::' || split_part(p_type, ' ', 1) END AS sid
+_STREAMS = """f AS (SELECT l_orderkey AS pid, l_shipdate, 'F' || (l_suppkey % 5) AS funder, CASE WHEN l_returnflag <> 'R' THEN 'F' || (l_suppkey % 5) || '::' || p_brand || '::' || split_part(p_type, ' ', 1) END AS sid
       FROM lineitem JOIN part ON p_partkey = l_partkey), s AS (SELECT pid, coalesce(sid, 'NONE::' || funder) AS stream_id, nullif(split_part(sid, '::', 2), '') AS programme, nullif(split_part(sid, '::', 3), '') AS action, funder FROM f)"""
 
 
 def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     funder = F.concat(F.lit("F"), (F.col("l_suppkey") % 5).cast("string"))
-    sid = F.when(F.col("l_linenumber") % 3 != 0, F.concat_ws("::", funder, "p_brand", F.split_part("p_type", F.lit(" "), F.lit(1))))
+    sid = F.when(F.col("l_returnflag") != "R", F.concat_ws("::", funder, "p_brand", F.split_part("p_type", F.lit(" "), F.lit(1))))
     return docs.streams(lines.select(F.col("l_orderkey").alias("pid"), funder.alias("funder"), sid.alias("sid")))
 
 
@@ -146,8 +146,9 @@ def grants_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.grants(_streams(spark, sf_dir), amounts).withColumn("total_eur", F.round("total_eur", 2))
 
 
-@query("SELECT name, sum(n)::BIGINT AS n FROM (SELECT trim(regexp_replace(split_part(text, ' ', 1), '\\s+', ' ', 'g')) AS name, count(*) AS n FROM documents GROUP BY split_part(text, ' ', 1)) WHERE name <> '' GROUP BY 1 ORDER BY n DESC, name LIMIT 100")
+@query("SELECT name, sum(n)::BIGINT AS n FROM (SELECT regexp_extract(lower(raw), '^https?://([^/?#]+)', 1) AS name, count(*) AS n FROM (SELECT regexp_extract(url, '^[^?#]+') AS raw FROM pages) GROUP BY raw) WHERE name <> '' GROUP BY 1 ORDER BY n DESC, name LIMIT 100")
 def publisher_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top names: counted raw, cleaned once each, counted again."""
-    rows = table(spark, sf_dir, "documents").select(F.split_part("text", F.lit(" "), F.lit(1)).alias("raw"))
-    return docs.counted_by_clean(rows, "raw", sanitize_string).orderBy(F.desc("n"), "name").limit(100)
+    """Top hosts: addresses counted raw, cleaned once each, counted again."""
+    rows = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^[^?#]+", 0).alias("raw"))
+    host = lambda c: sanitize_string(F.regexp_extract(F.lower(c), "^https?://([^/?#]+)", 1))
+    return docs.counted_by_clean(rows, "raw", host).orderBy(F.desc("n"), "name").limit(100)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomwork.core.artifacts import exists, publish, remove
-from loomwork.core.keys import upsert
 
 #: Files a little older than the watermark are read again; loading must be idempotent.
 OVERLAP = timedelta(seconds=5)
@@ -58,15 +57,16 @@ def stream_files(spark: SparkSession, folder: str, schema: T.StructType | str, k
 def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: str) -> None:
     """Merge all that has landed into a Parquet dataset by key, then stop.
 
-    The latest row by ``order`` wins. A batch that runs twice, after a crash
+    The latest row by ``order`` wins, also over what an earlier batch brought,
+    since files come in no order. A batch that runs twice, after a crash
     between the merge and the stream's own commit, gives the same dataset.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, _: int) -> None:
-        latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), F.struct(order, F.xxhash64(*batch.columns))).alias("r")).select("r.*")
-        out = upsert(spark.read.parquet(target), latest, keys) if exists(spark, target) else latest
-        publish(out, target)
+        rows = spark.read.parquet(target).unionByName(batch) if exists(spark, target) else batch
+        latest = F.max_by(F.struct(*rows.columns), F.struct(order, F.xxhash64(*rows.columns)))
+        publish(rows.groupBy(*keys).agg(latest.alias("_row")).select("_row.*"), target)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

@@ -195,7 +195,7 @@ def test_enrich(spark):
     t = spark.createDataFrame([(1, "The Roma-people."), (2, "aroma"), (3, "")], "id long, t string")
     assert rows(enrich.keyword_hits(t, "t", kw, 2), "id") == [(1, ["q1", "q2"])]
     typos = {r["keyword"] for r in enrich.typo_variants(spark.createDataFrame([("k", "minority"), ("s", "roma")], "key string, keyword string")).collect()}
-    assert {"minority", "mnority", "mnioirty"[:0] + "mniority", "roma"} <= typos and "rma" not in typos
+    assert {"minority", "mnority", "mniority", "roma"} <= typos and "rma" not in typos
     tags = spark.createDataFrame([(1, ["a", "b"]), (2, ["a"])], "id long, keys array<string>")
     denied = spark.createDataFrame([(1, "b"), (2, "a")], "id long, key string")
     assert rows(enrich.deny(tags, denied), "id") == [(1, ["a"])]
