@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,37 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows of an Arrow batch: texts are long, and both ends of the pipe hold a batch.
+BATCH_ROWS = 1000
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of BATCH_ROWS rows.
+
+    The number of rows is a session setting that is read when the plan runs;
+    it is lowered where the session has Spark's default and left alone where
+    it was set to less.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
+def regrouped(batches: Iterator[pa.RecordBatch], rows: int = 65_536) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches, for narrow rows."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a scratch table that no later plan reads."""
     path = getattr(df, "_scratch_path", None)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import discard, materialize
+from loomwork.llm.common import discard, map_arrow, materialize, regrouped
 
 #: Nodes that one task holds before it writes its forest out and starts anew.
 FOREST_NODES = 1_000_000
@@ -55,7 +55,7 @@ class Forest:
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forest = Forest()
-    for batch in batches:
+    for batch in regrouped(batches):
         forest.add(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
         if len(forest.parent) > FOREST_NODES:
             yield forest.drain()
@@ -84,20 +84,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edge table gives an empty result.
     """
     clean = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
-    current = materialize(clean.mapInArrow(_contract, "src long, dst long"))
+    current = materialize(map_arrow(clean, _contract, "src long, dst long"))
     while not _is_star(current):
         both = current.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
             current.select(F.col("dst").alias("u"), F.col("src").alias("v"))
         )
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # minima as tables of their own: a plain join that can broadcast them, or split a hub
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = materialize(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         pairs = large.join(least, "u")
         small = pairs.select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("src"), F.col("m").alias("dst")
         ).distinct()
         following = materialize(small)
-        discard(current)
+        for used in (current, low, large, least):
+            discard(used)
         current = following
     leaves = current.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     centres = current.select(F.col("dst").alias("node"), F.col("dst").alias("component"))

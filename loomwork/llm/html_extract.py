@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.common import map_arrow
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements that begin and end a block of text.
@@ -259,7 +261,7 @@ _WORDS = "the of and to in a is that for it was on are as with his they be at on
 
 #: Skeletons of labelled pages. {N} stands for N words; content is in class gold.
 _SKELETONS = (
-    '<body><nav><ul><li><a href="/x">{1}</a></li><li><a href="/y">{2}</a></li></ul></nav><div class="ad">{9}</div><article><h1 class="gold">{6}</h1><p class="gold">{40}</p><p class="gold">{30} <b>{3}</b> <a href="/z">{2}</a> {20}</p><ul class="gold"><li>{6}</li><li>{8}</li></ul></article><footer>{12}</footer></body>',
+    '<body><nav><ul><li><a href="/x">{1}</a></li><li><a href="/y">{2}</a></li></ul></nav><div class="ad">{9}</div><article><h1 class="gold">{6}</h1><p class="gold">{40}</p><p class="gold">{30} <b>{3}</b> <a href="/z">{2}</a> <span>{2}</span> <em>{2}</em> <small>{1}</small> <code>{1}</code> {20}</p><ul class="gold"><li>{6}</li><li>{8}</li></ul></article><footer>{12}</footer></body>',
     '<body><header><h2>{3}</h2><nav><a>{1}</a><a>{1}</a></nav></header><main><h1 class="gold">{8}</h1><p class="gold">{60}</p><blockquote class="gold">{14}</blockquote><aside>{16}</aside><p class="gold">{50}</p></main><aside class="sidebar"><h3>{2}</h3><p>{12}</p></aside><footer><p>{10}</p></footer></body>',
     '<body><div class="header"><div class="logo">{2}</div><div class="menu">{8}</div></div><div class="content"><div class="post gold"><h1>{5}</h1><p>{70}</p><p>{45}</p><table><tr><td>{3}</td><td>{4}</td></tr></table></div></div><div class="sidebar"><p>{20}</p></div><div class="footer">{14}</div></body>',
     '<body><div class="cookie-notice">{22}<button>{1}</button></div><div id="nav">{6}</div><div id="main"><h1 class="gold">{6}</h1><section class="gold"><p>{35}</p><p>{35}</p></section><div class="share">{4}</div><div class="related"><a>{5}</a><a>{6}</a></div></div><div id="comments"><h3>{1}</h3><div class="comment"><p>{25}</p></div></div></body>',
@@ -268,6 +270,9 @@ _SKELETONS = (
     '<body><div class="topbar toolbar">{5}</div><div role="banner">{4}</div><div role="navigation">{6}</div><div role="main"><p class="gold">{48}</p><p class="gold">{52}</p></div><div role="complementary">{18}</div><div role="contentinfo">{8}</div><div role="search">{2}</div><div role="alert">{9}</div></body>',
     '<body><div class="ads sponsor">{8}</div><div class="promo">{7}</div><div class="notice">{12}</div><div class="entry gold"><p>{61}</p><div>{20}</div><p>{33}</p></div><div class="replies"><div class="reply">{22}</div></div><div class="social">{3}</div><div class="login">{2}</div><div class="tags">{4}</div><dialog>{8}</dialog><menu>{3}</menu></body>',
     '<body><div class="advertisement sponsored">{9}</div><div class="notices">{12}</div><div class="sidebars">{15}</div><div class="text gold"><p>{58}</p><p>{37}</p></div><div class="disclaimer">{14}</div><div class="consent gdpr cookies cookie">{16}</div><div class="navigation navbar">{6}</div><div class="footers">{6}</div><div class="headers masthead">{6}</div><div class="commentlist respond disqus">{30}</div><div class="dropdown menus">{6}</div><div class="hidden" hidden>{9}</div><div class="teaser outbrain taboola">{14}</div><svg><text>{2}</text></svg><noscript>{6}</noscript><template>{5}</template><fieldset>{4}</fieldset><button>{1}</button><object>{2}</object></body>',
+    '<body><div class="adbox adslot adsbygoogle">{9}</div><div class="topnav subnav sidenav leftnav navigation">{8}</div><div class="cookiebar cookieconsent">{12}</div><div class="breadcrumbs pager skiplink">{4}</div>'
+    '<div class="article-body gold"><p>{64}</p><p>{41}</p></div><div class="sharing signup paywall overlay">{9}</div><div class="alert notification announcement">{11}</div><div class="recommendations tagcloud widgets">{12}</div>'
+    '<div class="usercomments responses replies">{30}</div><div class="siteheader pageheader">{5}</div><div class="sitefooter pagefooter">{9}</div><div class="sponsors advertising adverts advertorial">{10}</div></body>',
 )
 
 
@@ -298,4 +303,4 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return map_arrow(rows, run, "page_id long, url string, text string, n_chars long")

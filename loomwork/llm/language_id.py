@@ -15,15 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.llm.common import materialize, packed
+from loomwork.llm.common import map_arrow, materialize, packed
 
 ORDER = 4
 #: Training texts of a language, at most: those of the smallest id hashes.
-SAMPLE_PER_LANGUAGE = 1500
+SAMPLE_PER_LANGUAGE = 800
 #: Every so many training texts one calibrates instead of being counted.
 CALIBRATE_EVERY = 5
 #: Rejected: cross-entropy above the calibration's mean by so many standard
@@ -163,12 +164,11 @@ def train(texts: dict[str, list[str]], order: int = ORDER) -> Models:
     pad = np.full(order - 2, _SPACE, dtype=np.uint64)
     held: list[list[np.ndarray]] = []
     ones: list[_One] = []
-    for lang in languages:
-        streams = [symbols(t) for t in texts[lang]]
-        test = streams[::CALIBRATE_EVERY] if len(streams) >= 2 * CALIBRATE_EVERY else streams
-        fit = [s for i, s in enumerate(streams) if i % CALIBRATE_EVERY] if len(streams) >= 2 * CALIBRATE_EVERY else streams
-        held.append(test)
-        ones.append(_count([np.concatenate([pad, s]) for s in fit], order))
+    for lang in languages:  # one language's symbols in memory at a time
+        enough = len(texts[lang]) >= 2 * CALIBRATE_EVERY
+        held.append([symbols(t) for t in texts[lang][:: CALIBRATE_EVERY if enough else 1]])
+        fit = [t for i, t in enumerate(texts[lang]) if i % CALIBRATE_EVERY or not enough]
+        ones.append(_count([np.concatenate([pad, symbols(t)]) for t in fit], order))
     alphabet = np.unique(np.concatenate([o.keys[0] for o in ones] or [np.zeros(0, dtype=np.uint64)]))
     floor = -float(np.log(len(alphabet) + 1))
     models = Models(languages, order, [], [], [], [], floor)
@@ -266,16 +266,19 @@ def identify_languages(
             score[known], rejected[known] = confidence, bad
         return lang, score, rejected
 
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                lang, score, rejected = predicted(part.column(2).to_pylist())
-                columns = [part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), *part.columns[3:]]
+                text = pc.struct_field(part.column(2), [at]) if whole else part.column(2)
+                lang, score, rejected = predicted(text.to_pylist())
+                columns = [part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), *[part.column(2)] * whole]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     inputs = {"doc_id": F.col(id_col).cast("long"), "held_out": held_out(id_col), "text": F.col(text_col)}
-    rows = packed(docs, **inputs).select(*inputs, *["doc"] * whole)
+    rows = packed(docs, **inputs).select("doc_id", "held_out", "doc" if whole else "text")
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    schema = T.StructType(fields + [rows.schema["doc"]] * whole)
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType(fields + ([rows.schema["doc"]] if whole else []))
+    return map_arrow(rows, run, schema)

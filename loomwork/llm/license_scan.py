@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.common import map_arrow
+
 from loomwork.llm.license_rules import BASE_PHRASES, RULES, Rule
 
 #: Bytes to what separates words there: all ASCII but digits and letters to spaces, A-Z to a-z.
@@ -153,4 +155,4 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(spans, span_type)], ["doc_id", *names, "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, {_DIGEST}, {_SPANS}")
+    return map_arrow(rows, run, f"doc_id long, {_DIGEST}, {_SPANS}")

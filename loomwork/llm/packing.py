@@ -13,14 +13,19 @@ import base64
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.common import map_arrow
+
 WINDOW = 2048
 END_ID = 1
+#: Strings that the library reads as one token where they stand in a text.
+SPECIAL = ("<|endoftext|>",)
 #: Price of a cut, in tokens of padding: after a sentence, inside one.
 SENTENCE_CUT = 8
 FORCED_CUT = 48
@@ -34,28 +39,35 @@ _KEEP = 16
 class Tokenizer:
     """ids of texts under a byte-level BPE file of the ``tokenizers`` library.
 
-    The vocabulary beside it as tiktoken ranks gives the same ids about five
-    times as fast; where it is absent, or a text is too much for its pattern
-    engine, the library itself encodes.
+    The same vocabulary as tiktoken ranks gives the same ids about five times
+    as fast; where it is absent, or a text is too much for its pattern engine,
+    the library itself encodes. It is loaded only then: a worker's memory
+    rarely holds both.
     """
 
-    def __init__(self, path: str, ranks_path: str | None = None) -> None:
-        from tokenizers import Tokenizer as Library
-
-        self.library = Library.from_file(path)
-        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.fast = None
+    def __init__(self, path: str, ranks_path: str | None = None, special: tuple[str, ...] = SPECIAL) -> None:
+        self.path, self.special, self.fast = path, special, None
         if ranks_path:
             import public_tokenizers
             import tiktoken
 
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        size = self.library.get_vocab_size()
-        ends = {i for token, i in self.library.get_vocab().items() if token[-1] in ".!?" or "Ċ" in token}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            ends = [i for token, i in ranks.items() if token[-1] in b".!?" or b"\n" in token]
+            size = max(ranks.values()) + 1 + len(special)
+        else:
+            vocabulary = self.library.get_vocab()
+            ends = [i for token, i in vocabulary.items() if token[-1] in ".!?" or "\u010a" in token]  # U+010A: a line feed in this alphabet
+            size = len(vocabulary)
         self.sentence_end = np.zeros(max(size, END_ID) + 1, dtype=bool)
-        self.sentence_end[list(ends)] = True
+        self.sentence_end[ends] = True
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_file(self.path)
 
     def encode(self, text: str) -> np.ndarray:
         if self.fast is not None and not any(s in text for s in self.special):
@@ -95,7 +107,6 @@ def plan_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW)
     """
     n = len(places)
     at = np.r_[0, places]
-    place_of = {int(p): i for i, p in enumerate(at)}
     exact: dict[int, list[int]] = {}
     power = 1
     while power < window:  # starts from which a window has no padding
@@ -240,4 +251,4 @@ def pack_documents(
         rows.extend(packer.close())
         yield table()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)

@@ -190,7 +190,7 @@ def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     weights, threshold = fit_rules(docs, trusted, id_col, text_col)
     # the row number keeps the filter above the verdict, which it would otherwise repeat
     decided = judged(packed(docs, _text=F.col(text_col)), weights, "_text", threshold).withColumn("_row", F.monotonically_increasing_id())
-    return unpacked(decided.where("kept"))
+    return unpacked(decided.where("kept AND _row >= 0"))
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialize, packed, unpacked
+from loomwork.llm.common import map_arrow, materialize, packed, regrouped, unpacked
 from loomwork.llm.components import FOREST_NODES, Forest, connected_components
 
 MAX_BITS = 4
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    return map_arrow(ids, run, "doc_id long, fp long")
 
 
 def _segment(start: F.Column, shift: int) -> F.Column:
@@ -180,7 +180,7 @@ def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = np.cumsum(np.r_[0, ((rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])).astype(np.int64)]) if len(rows) else rows[:, 0]
         _link_sorted(cell, (rows[:, 0] >> 26).astype(np.int64), rows[:, 2], np.ascontiguousarray(rows[:, 3]).view(np.uint64), forest)
 
-    for batch in batches:
+    for batch in regrouped(batches):
         new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
         rows = np.concatenate([rest, new]) if len(rest) else new
         if not len(rows):
@@ -222,7 +222,7 @@ def simhash_links(distinct: DataFrame) -> DataFrame:
         cells = entries.select("bucket", F.lit(0).cast("long").alias("block"), "role", "fp")
         placed = cells.repartition("bucket")
     ordered = placed.sortWithinPartitions("bucket", "block", "role")
-    return ordered.mapInArrow(_link_cells, "src long, dst long")
+    return map_arrow(ordered, _link_cells, "src long, dst long")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -253,12 +253,14 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and leave one; rows whose id is null are kept only if nothing stands for
     their group.
     """
-    parts = materialize(simhash_components(docs, id_col, text_col))
-    kept = parts.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    again = materialize(parts.groupBy(F.col("doc_id").alias("_seen")).agg(F.count("*").alias("_rows")).where("_rows > 1"))
-    rows = packed(docs, _id=F.col(id_col).cast("long")).join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
+    parts = simhash_components(docs, id_col, text_col)
+    stands = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = materialize(parts.groupBy("doc_id").agg(F.max(stands).alias("stands"), F.count("*").alias("rows")).where("NOT stands OR rows > 1"))
+    # the few ids that go, not the many that stay: a join that can broadcast moves no text
+    gone, again = (ids.where(c).select(F.col("doc_id").alias("_other")) for c in ("NOT stands", "stands AND rows > 1"))
+    same = F.col("_id").eqNullSafe(F.col("_other"))
+    rows = packed(docs, _id=F.col(id_col).cast("long")).join(gone, same, "left_anti")
     if not again.limit(1).count():
         return unpacked(rows)
-    repeated = F.col("_id").eqNullSafe(F.col("_seen"))
-    first = rows.join(again, repeated, "left_semi").groupBy("_id").agg(F.first("doc").alias("doc"))
-    return unpacked(rows.join(again, repeated, "left_anti").select("doc").unionByName(first.select("doc")))
+    first = rows.join(again, same, "left_semi").groupBy("_id").agg(F.first("doc").alias("doc"))
+    return unpacked(rows.join(again, same, "left_anti").select("doc").unionByName(first.select("doc")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialize
+from loomwork.llm.common import map_arrow, materialize
 
 WORD_BUCKETS = 1 << 16
 #: Style bins, after the word buckets.
@@ -131,7 +131,7 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             found = [features(t.as_py()).astype(np.int32).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["id", "good", "f"])
 
-    drawn = sorted((r["id"], bytes(r["f"]), r["good"]) for r in rows.mapInArrow(encode, "id long, good boolean, f binary").collect())
+    drawn = sorted((r["id"], bytes(r["f"]), r["good"]) for r in map_arrow(rows, encode, "id long, good boolean, f binary").collect())
     label = np.array([good for _, _, good in drawn], dtype=np.float64)
     if not len(label) or label.min() == label.max():
         return None
@@ -193,7 +193,7 @@ def classify_sites(
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(p, pa.float64())], ["doc_id", "host", "path", "p"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), host.cast("string").alias("host"), F.to_json(F.struct(path.alias("p"))).alias("path"), F.col(text_col).alias("text"))
-    scored = materialize(rows.mapInArrow(run, "doc_id long, host string, path string, p double"))
+    scored = materialize(map_arrow(rows, run, "doc_id long, host string, path string, p double"))
     held = materialize(
         scored.join(known, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "host", "path", "p", F.coalesce(F.col("_good").cast("double"), F.col("p")).alias("e"))
     )

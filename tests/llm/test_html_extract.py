@@ -24,6 +24,7 @@ CASES = [
     ("<article><p>cut &am", "cut &am"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a\nb\nc\nd"),
     ("<article>3 < 4 and 5 > 2</article>", "3 < 4 and 5 > 2"),
+    ("<article><p>a <span>b</span> <em>c</em></p></article>", "a b c"),
     ("<div class='with-sidebar'><p>kept words of the page</p><div class='sidebar'>gone</div></div>", "kept words of the page"),
 ]
 
