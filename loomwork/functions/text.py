@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Java's $ also matches before a final line break, so ends are written \z.
 # Characters dropped at the ends, and what counts as white space.
 BOM_CHARS = "﻿​‌‍￾"
 WHITE = r"[\s\p{Z}\x0b\x85\x1c-\x1f]"
@@ -23,11 +24,11 @@ def empty_to_null(c: Column) -> Column:
 
 def strip_bom(c: Column) -> Column:
     """Without byte-order marks and zero-width characters at either end."""
-    return empty_to_null(F.regexp_replace(c, f"^[{BOM_CHARS}]+|[{BOM_CHARS}]+$", ""))
+    return empty_to_null(F.regexp_replace(c, f"^[{BOM_CHARS}]+|[{BOM_CHARS}]+\\z", ""))
 
 
 def strip_white(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WHITE}+|{WHITE}+$", "")
+    return F.regexp_replace(c, f"^{WHITE}+|{WHITE}+\\z", "")
 
 
 def squash(c: Column) -> Column:

@@ -1,6 +1,6 @@
 """Readers for landed files."""
 
-from __future__ import annotations
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,28 +95,27 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType
 
 
 def find_key(text: str, key: str):
-    """Column: every value of a key at any depth of a JSON text, as JSON texts."""
-    return _find_key(F.col(text), F.lit(key))
+    """Column: every value of a key at any depth of a JSON text, as JSON texts; null if it does not parse."""
+    import pandas as pd
 
-
-@F.pandas_udf("array<string>")
-def _find_key(text, key):  # noqa: ANN001
-    import json
-
-    def walk(node, name):  # noqa: ANN001
+    def walk(node):
         if isinstance(node, dict):
             for k, v in node.items():
-                if k == name:
+                if k == key:
                     yield json.dumps(v, ensure_ascii=False)
-                yield from walk(v, name)
+                yield from walk(v)
         elif isinstance(node, list):
             for v in node:
-                yield from walk(v, name)
+                yield from walk(v)
 
-    def one(t, k):  # noqa: ANN001
+    def values(t: str | None) -> list[str] | None:
         try:
-            return list(walk(json.loads(t), k))
+            return list(walk(json.loads(t)))
         except (TypeError, ValueError):
             return None
 
-    return text.combine(key, one)
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def found(texts: pd.Series) -> pd.Series:
+        return texts.map(values)
+
+    return found(F.col(text))

@@ -24,13 +24,14 @@ def work_frames(spark, works, tiers):
     return w, graph.link_tiers(t)
 
 
-TODAY = F.lit("2025-01-01").cast("date")
+def today():
+    return F.lit("2025-01-01").cast("date")
 
 
 def trims(spark, works, tiers, cap):
     w, t = work_frames(spark, works, tiers)
-    a = graph.trim(w, t, cap, "d", F.col("t"), TODAY)
-    b = graph.trim_ranked(graph.narrow(w, t, "d", F.col("t"), TODAY), cap)
+    a = graph.trim(w, t, cap, "d", F.col("t"), today())
+    b = graph.trim_ranked(graph.narrow(w, t, "d", F.col("t"), today()), cap)
     assert rows(a, "id") == rows(b, "id")
     return [r[0] for r in rows(a, "id")]
 
@@ -56,7 +57,7 @@ def test_trim_ties_do_not_depend_on_row_order(spark, flip):
 def test_cutoff(spark):
     works = [(1, D(2024, 1, 1), False), (2, D(2023, 1, 1), False), (3, D(2023, 1, 1), False)]
     w, t = work_frames(spark, works, [[1, 2, 3]])
-    ranked = graph.narrow(w, t, "d", F.col("t"), TODAY)
+    ranked = graph.narrow(w, t, "d", F.col("t"), today())
     row = graph.cutoff(ranked, ranked.orderBy(*graph.trim_order()).limit(2)).first()
     assert (row["cutoff_tier"], row["cutoff_date"], row["on_cutoff_date"], row["kept_on_cutoff_date"]) == (0, D(2023, 1, 1), 2, 1)
 
