@@ -17,21 +17,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialize
+from loomwork.llm.common import map_arrow, materialize
 from loomwork.llm.components import Forest, connected_components
 
 THRESHOLD = 0.9
 TREES = 8
 #: Vectors a leaf should hold.
 LEAF = 256
-#: Vectors that the trees are fitted on, at most; every vector is indexed.
+#: Vectors that the trees are fitted on, and numbers in them, at most; every
+#: vector is indexed.
 SAMPLE = 20_000
+SAMPLE_NUMBERS = 2_000_000
 #: Half width of the spill, in standard deviations of the projected difference
 #: of two unit vectors at the threshold.
 SPILL = 0.75
 #: Rows of a leaf that one task holds; a larger leaf is dealt into block pairs.
 CELL = 4096
-_TILE = 1024
+_TILE = 512
 _PATH_BITS = 40
 
 
@@ -117,17 +119,31 @@ def fit_index(distinct: DataFrame, threshold: float, trees: int, leaf: int, samp
     counts = {r["d"]: r["n"] for r in distinct.groupBy("d").agg(F.count("*").alias("n")).where(F.col("n") > leaf).orderBy(F.desc("n")).limit(64).collect()}
     index = Index()
     for dim, n in counts.items():
-        share = min(1.0, sample / len(counts) / n)
+        wanted = min(sample, max(LEAF, SAMPLE_NUMBERS // dim)) / len(counts)
+        share = min(1.0, wanted / n)
         rows = distinct.where(F.col("d") == dim)
         if share < 1:
             rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-        drawn = np.array([r[0] for r in rows.select("v").limit(2 * sample).collect()], dtype=np.float64).reshape(-1, dim)
+        drawn = np.array([r[0] for r in rows.select("v").limit(int(2 * wanted) + 1).collect()], dtype=np.float64).reshape(-1, dim)
         depth = max(0, int(np.ceil(np.log2(n / leaf))))
         depth = min(depth, max(1, int(np.log2(max(2, len(drawn)) / 4))))
         index.trees[dim] = [fit_tree(unit_rows(drawn), depth, seed * 1000 + t, threshold) for t in range(trees)]
     return index
 
 
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """Rows of 32-bit floats as binary values."""
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * (4 * matrix.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(matrix))])
+
+
+def _floats(values: pa.Array, dim: int) -> np.ndarray:
+    """The matrix that binary values hold."""
+    _, offsets, data = values.buffers()
+    begin = np.frombuffer(offsets, dtype=np.int32)[values.offset]
+    return np.frombuffer(data, dtype=np.uint8)[begin : begin + 4 * dim * len(values)].view(np.float32).reshape(-1, dim)
+
+
 def _assign(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +154,7 @@ def _assign(index: Index):
                 row, leaf = index.leaves(unit_rows(matrix))
                 for i in range(0, len(row), 8192):
                     r = row[i : i + 8192]
-                    binary = pa.array([x.tobytes() for x in matrix[r].astype(np.float32)], pa.binary())
+                    binary = _binary(matrix[r].astype(np.float32))
                     dims = pa.array(np.full(len(r), matrix.shape[1], dtype=np.int32))
                     yield pa.RecordBatch.from_arrays([dims, pa.array(leaf[i : i + 8192]), pa.array(ids[at][r]), pa.array(weight[at][r]), binary], ["d", "leaf", "id", "w", "v"])
 
@@ -154,7 +170,7 @@ class _Cell:
     def compare(self, leaf: int, side: np.ndarray, ids: np.ndarray, weight: np.ndarray, vectors: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
         """side: 0 both, 1 left block, 2 right block. Returns ids and their new counts."""
         unit = unit_rows(vectors)
-        pairs = []
+        count, earlier = np.zeros(len(ids), dtype=np.int64), None
         lefts, rights = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
         for i in range(0, len(lefts), _TILE):
             a = lefts[i : i + _TILE]
@@ -163,22 +179,17 @@ class _Cell:
                 linked = (unit[a] @ unit[b].T) >= self.threshold
                 linked &= (side[a][:, None] != 0) | (a[:, None] < b[None, :])
                 x, y = np.nonzero(linked)
-                if len(x):
-                    pairs.append((a[x], b[y]))
-        count = np.zeros(len(ids), dtype=np.int64)
-        if not pairs:
-            return ids[:0], count[:0]
-        met = np.unique(np.concatenate([np.concatenate(p) for p in pairs]))
-        earlier = self._earlier(leaf, unit[met])
-        local = np.full(len(ids), -1)
-        local[met] = np.arange(len(met))
-        for x, y in pairs:
-            for k in range(0, len(x), 65536):
-                p, q = x[k : k + 65536], y[k : k + 65536]
-                new = ~(earlier[local[p]] & earlier[local[q]]).any(axis=1)
-                np.add.at(count, p[new], weight[q[new]])
-                np.add.at(count, q[new], weight[p[new]])
-            self._join(ids, x, y, forest)
+                if not len(x):
+                    continue
+                if earlier is None:
+                    earlier = self._earlier(leaf, unit)
+                x, y = a[x], b[y]
+                for k in range(0, len(x), 16384):
+                    p, q = x[k : k + 16384], y[k : k + 16384]
+                    new = ~(earlier[p] & earlier[q]).any(axis=1)
+                    np.add.at(count, p[new], weight[q[new]])
+                    np.add.at(count, q[new], weight[p[new]])
+                self._join(ids, x, y, forest)
         some = count > 0
         return ids[some], count[some]
 
@@ -217,10 +228,10 @@ def _compare(index: Index, threshold: float):
         def close() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            rows = pa.Table.from_batches(held).combine_chunks()
+            rows = pa.Table.from_batches(held)
             dim, leaf = key[0], key[1]
             if rows.num_rows > 1:
-                vectors = np.frombuffer(b"".join(rows.column("v").to_pylist()), dtype=np.float32).reshape(-1, dim)
+                vectors = np.concatenate([_floats(c, dim) for c in rows.column("v").chunks])
                 side, ids, weight = (rows.column(c).to_numpy() for c in ("side", "id", "w"))
                 who, n = cell.compare(leaf, side, ids, weight, vectors, forest)
                 if len(who):
@@ -283,8 +294,8 @@ def embedding_links(
     good = valid_vectors(rows, id_col, vector_col)
     distinct = materialize(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w")).withColumn("d", F.size("v")))
     index = fit_index(distinct, threshold, trees, leaf, sample, seed)
-    leaves = distinct.select("id", "w", "v").mapInArrow(_assign(index), "d int, leaf long, id long, w long, v binary")
-    sizes = distinct.select("id", "w", "v").mapInArrow(_assign(index), "d int, leaf long, id long, w long, v binary")
+    leaves = map_arrow(distinct.select("id", "w", "v"), _assign(index), "d int, leaf long, id long, w long, v binary")
+    sizes = map_arrow(distinct.select("id", "w", "v"), _assign(index), "d int, leaf long, id long, w long, v binary")
     hot = materialize(sizes.groupBy("d", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > CELL))
     n_hot = hot.count()
     if n_hot:
@@ -300,7 +311,7 @@ def embedding_links(
     # the key has no side: a cell's blocks must meet in one run of rows
     keyed = cells.select("d", "leaf", "cell", F.lit(0).cast("long").alias("z"), "side", "id", "w", "v")
     placed = keyed.repartition("d", "leaf", "cell").sortWithinPartitions("d", "leaf", "cell")
-    found = materialize(placed.mapInArrow(_compare(index, threshold), "kind int, a long, b long"))
+    found = materialize(map_arrow(placed, _compare(index, threshold), "kind int, a long, b long"))
     counts = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("n"))
     parts = connected_components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     by_rep = (
