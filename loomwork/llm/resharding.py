@@ -3,7 +3,9 @@
 Old shards supply their bytes, new shards take up to their capacity, and a
 byte costs 1 if it leaves its shard number. The cheapest flow says how many
 bytes go from each old shard to each new one; an old shard's documents, in
-hash order, are cut into those runs. Only shards that lose or gain rows are
+hash order, are cut into those runs. A run cannot cut a document, so the small
+documents flow last, to what room the others have left: shard sizes then differ
+by little more than a small document. Only shards that lose or gain rows are
 rewritten.
 """
 
@@ -21,6 +23,8 @@ NEW_SHARDS = 24
 #: Bytes that a document adds besides its text.
 ROW_BYTES = 8
 SEED = 29
+#: Share of all bytes that the small documents make up, at least.
+SMALL_SHARE = 0.25
 _BUCKETS = 256
 
 
@@ -73,14 +77,31 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]])
     return [[graph[n + j][graph[i][1 + j][3]][1] for j in range(m)] for i in range(n)]
 
 
-def transfer_plan(old_sizes: list[int], new_shards: int) -> list[tuple[int, int, int, int]]:
+def room_left(loads: list[int], total: int) -> list[int]:
+    """Capacities that raise the lowest loads to one level and add up to ``total``."""
+    order = sorted(range(len(loads)), key=lambda j: (loads[j], j))
+    level, left = loads[order[0]], total
+    for k, j in enumerate(order):
+        step = (loads[j] - level) * k
+        if step >= left:
+            break
+        left -= step
+        level = loads[j]
+    lowest = [j for j in order if loads[j] <= level]
+    out = [max(0, level - x) for x in loads]
+    for place, j in enumerate(lowest):
+        out[j] += left // len(lowest) + (place < left % len(lowest))
+    return out
+
+
+def transfer_plan(old_sizes: list[int], new_shards: int, loads: list[int] | None = None) -> list[tuple[int, int, int, int]]:
     """(old, new, from_byte, to_byte): which run of each old shard goes where.
 
-    Capacities differ by one byte at most. The run that stays comes first, the
+    Loads, none at first, and runs together differ by one byte at most where
+    the runs have enough bytes for that. The run that stays comes first, the
     others follow by new shard; runs of an old shard leave no gap.
     """
-    total = sum(old_sizes)
-    capacity = [total // new_shards + (j < total % new_shards) for j in range(new_shards)]
+    capacity = room_left(loads or [0] * new_shards, sum(old_sizes))
     cost = [[0 if i == j else 1 for j in range(new_shards)] for i in range(len(old_sizes))]
     runs = []
     for i, flows in enumerate(min_cost_flow(old_sizes, capacity, cost)):
@@ -92,6 +113,18 @@ def transfer_plan(old_sizes: list[int], new_shards: int) -> list[tuple[int, int,
     return runs
 
 
+def small_size(sized: DataFrame, share: float = SMALL_SHARE) -> int:
+    """Size up to which documents are small: they hold ``share`` of the bytes, from a histogram of a few hundred classes."""
+    grade = F.floor(F.log2(F.col("size").cast("double")) * 8)
+    classes = sized.groupBy(grade.alias("grade")).agg(F.max("size").alias("largest"), F.sum("size").alias("bytes")).orderBy("grade").collect()
+    total, seen = sum(r["bytes"] for r in classes), 0
+    for r in classes:
+        seen += r["bytes"]
+        if seen >= share * total:
+            return r["largest"]
+    return 0
+
+
 def sized_documents(docs: DataFrame, id_col: str, text_col: str, old_col: str | None, old_shards: int) -> DataFrame:
     """Scratch table of (row, doc_id, size, text_crc32, old, h, bucket)."""
     spread = F.xxhash64(F.lit(SEED), F.col(id_col).cast("long"))
@@ -120,21 +153,26 @@ def reshard(
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, old_shard, moved).
 
-    Law ``bytes``: shard sizes are equal but for the documents at the ends of
-    runs. Old shards are the values 0..old_shards-1 of ``old_col``, or a hash of the id.
+    Law ``bytes``: shard sizes are equal but for the small documents at the
+    ends of runs. Old shards are the values 0..old_shards-1 of ``old_col``, or a hash of the id.
     A null text has no bytes and the checksum of an empty one; repeated rows
     are placed one by one; a null id hashes like any other; an empty table
     gives an empty result.
     """
     sized = sized_documents(docs, id_col, text_col, old_col, old_shards)
-    sizes = {r["old"]: int(r["s"]) for r in sized.where(F.col("old").between(0, old_shards - 1)).groupBy("old").agg(F.sum("size").alias("s")).collect()}
-    runs = transfer_plan([sizes.get(i, 0) for i in range(old_shards)], new_shards)
-    spark = docs.sparkSession
-    table = F.broadcast(spark.createDataFrame(runs, "r_old int, shard int, from_byte long, to_byte long"))  # at most old + new rows
+    small = (F.col("size") <= small_size(sized)).cast("int").alias("small")
+    graded = materialize(sized.select("*", small))
     order = [F.col("h"), F.col("doc_id"), F.col("row")]
-    placed = prefix_sum(sized, ["old"], "bucket", order, "size", "begin")
-    middle = F.expr("begin + size div 2")
-    assigned = placed.join(table, (F.col("old") == F.col("r_old")) & (middle >= F.col("from_byte")) & (middle < F.col("to_byte")))
+    placed = materialize(prefix_sum(graded, ["old", "small"], "bucket", order, "size", "begin").withColumn("middle", F.expr("begin + size div 2")))
+    sizes = {(r["old"], r["small"]): int(r["s"]) for r in placed.groupBy("old", "small").agg(F.sum("size").alias("s")).collect()}
+    runs: list[tuple] = []
+    loads = [0] * new_shards
+    for k in (0, 1):  # the small documents last
+        mine = [(k, *run) for run in transfer_plan([sizes.get((i, k), 0) for i in range(old_shards)], new_shards, loads)]
+        runs += mine
+        for r in _assign(placed.where(F.col("small") == k), mine).groupBy("shard").agg(F.sum("size").alias("s")).collect():
+            loads[r["shard"]] += int(r["s"])
+    assigned = _assign(placed, runs)
     fixed = materialize(
         assigned.select("row", "doc_id", "size", "text_crc32", "old", "h", "shard", (F.col("old") * _BUCKETS + F.col("bucket")).alias("cell"), F.lit(1).cast("long").alias("one"))
     )
@@ -152,6 +190,13 @@ def reshard(
     )
 
 
+def _assign(placed: DataFrame, runs: list[tuple]) -> DataFrame:
+    """Each document with the shard of the run that holds its middle."""
+    table = placed.sparkSession.createDataFrame(runs, "r_small int, r_old int, shard int, from_byte long, to_byte long")
+    inside = (F.col("middle") >= F.col("from_byte")) & (F.col("middle") < F.col("to_byte"))
+    return placed.join(F.broadcast(table), (F.col("old") == F.col("r_old")) & (F.col("small") == F.col("r_small")) & inside)  # a row a run
+
+
 def rewrite_shards(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8) -> list[int]:
     """Write the shards that the plan changes to ``path``/shard=N; returns them.
 
