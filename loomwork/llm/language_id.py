@@ -222,8 +222,9 @@ def training_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, s
     usable = rows.where("NOT out AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     narrow = materialize(usable.select("id", "lang", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 40)).alias("h")))
     counts = narrow.groupBy("lang").agg(F.count("*").alias("n"))
-    limits = counts.select(F.col("lang").alias("_l"), F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), (F.lit(2.0 * sample) + 100) / F.col("n"))).alias("_limit"))
-    near = narrow.join(limits, F.col("lang") == F.col("_l")).where("h < _limit")
+    limits = materialize(counts.select(F.col("lang").alias("_l"), F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), (F.lit(2.0 * sample) + 100) / F.col("n"))).alias("_limit")))
+    few = limits.count() <= 10_000
+    near = narrow.join(F.broadcast(limits) if few else limits, F.col("lang") == F.col("_l")).where("h < _limit")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     chosen = near.withColumn("rank", rank).where(F.col("rank") <= sample).groupBy(F.col("id").alias("_id")).agg(F.min("rank").alias("rank"))
     drawn = usable.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("lang", "rank", "text")
