@@ -53,11 +53,14 @@ def streams(fundings: DataFrame) -> DataFrame:
 
 
 def grants(streams_: DataFrame, amounts: DataFrame) -> DataFrame:
-    """(id, funder, project_count, total_eur): an amount is split equally over a project's fundings."""
+    """(id, funder, project_count, total_eur): an amount is split equally over a project's fundings.
+
+    Shares are summed as whole millionths, so that the order of rows does not show.
+    """
     n = streams_.groupBy("pid").agg(F.count("*").alias("n_fund"))
     joined = streams_.join(n, "pid").join(amounts, "pid", "left")
     return joined.groupBy(F.col("stream_id").alias("id")).agg(
-        F.min("funder").alias("funder"), F.count_distinct("pid").alias("project_count"), F.sum(F.col("amount") / F.col("n_fund")).alias("total_eur")
+        F.min("funder").alias("funder"), F.count_distinct("pid").alias("project_count"), (F.sum(F.floor(F.col("amount") * 1000000 / F.col("n_fund")).cast("long")) / 1000000).alias("total_eur")
     )
 
 

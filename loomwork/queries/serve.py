@@ -137,13 +137,13 @@ def funding_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_STREAMS}, n AS (SELECT pid, count(*) AS n_fund FROM s GROUP BY 1) SELECT stream_id AS id, min(funder) AS funder, count(DISTINCT s.pid) AS project_count, round(sum(o_totalprice / n_fund), 4) AS total_eur
+    f"""WITH {_STREAMS}, n AS (SELECT pid, count(*) AS n_fund FROM s GROUP BY 1) SELECT stream_id AS id, min(funder) AS funder, count(DISTINCT s.pid) AS project_count, sum(floor(o_totalprice * 1000000 / n_fund)::BIGINT)::BIGINT / 1000000 AS total_eur
     FROM s JOIN n USING (pid) LEFT JOIN orders ON o_orderkey = s.pid GROUP BY 1"""
 )
 def grants_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a stream with its equal share of the amounts."""
     amounts = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pid"), F.col("o_totalprice").alias("amount"))
-    return docs.grants(_streams(spark, sf_dir), amounts).withColumn("total_eur", F.round("total_eur", 4))
+    return docs.grants(_streams(spark, sf_dir), amounts)
 
 
 @query("SELECT name, sum(n)::BIGINT AS n FROM (SELECT regexp_extract(lower(raw), '^https?://([^/?#]+)', 1) AS name, count(*) AS n FROM (SELECT regexp_extract(url, '^[^?#]+') AS raw FROM pages) GROUP BY raw) WHERE name <> '' GROUP BY 1 ORDER BY n DESC, name LIMIT 100")
