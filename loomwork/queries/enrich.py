@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwork.core.keys import first_by, merged_list
 from loomwork.plans import enrich
+from loomwork.plans.normalise import entity_id, normalise
 from loomwork.queries.registry import query, table
 
 #: Stems that begin words of the test corpus.
@@ -191,3 +192,16 @@ def longest_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest document of each language and source."""
     best = first_by(table(spark, sf_dir, "documents"), ["lang", "source"], [F.col("n_chars").desc(), F.col("doc_id")])
     return best.select("lang", "source", F.col("text").alias("sample"), "doc_id")
+
+
+@query(
+    """SELECT conv_id, role, min(k - 1)::INTEGER AS position FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations) WHERE role IS NOT NULL GROUP BY 1, 2"""
+)
+def normalised_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested turns as entity and junction tables, joined back by their ids."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    docs = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    entities, junction = normalise(docs, ["conv_id"], "turns", ["role"])
+    parents = docs.select(entity_id(F.col("conv_id")).alias("parent_id"), "conv_id")
+    named = junction.join(entities.select(F.col("id").alias("child_id"), "role"), "child_id").join(parents, "parent_id")
+    return named.select("conv_id", "role", "position")
