@@ -38,23 +38,29 @@ _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _LANE = np.arange(8, dtype=np.int64) * 256
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
-    """Unsigned SimHash of a text; 0 if it has no word.
+def shingle_hashes(text: str | None, shingle: int) -> list[int]:
+    """Unsigned hash of each shingle of a text in order; none if it has no word.
 
-    A-Z are lower-cased, words end at ASCII white space, repeated shingles
-    count each time, a text of fewer words is one shingle.
+    A-Z are lower-cased, words end at ASCII white space, a text of fewer words
+    is one shingle.
     """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return []
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), HASH_SEED)]
-    else:
-        joined = b" ".join(words)
-        ends = list(accumulate(len(w) + 1 for w in words))
-        begins = [0, *ends]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[b : e - 1], HASH_SEED) for b, e in zip(begins, ends[shingle - 1 :])]
+        return [xxhash.xxh64_intdigest(b" ".join(words), HASH_SEED)]
+    joined = b" ".join(words)
+    ends = list(accumulate(len(w) + 1 for w in words))
+    begins = [0, *ends]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[b : e - 1], HASH_SEED) for b, e in zip(begins, ends[shingle - 1 :])]
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
+    """Unsigned SimHash of a text; 0 if it has no word. Repeated shingles count each time."""
+    hashes = shingle_hashes(text, shingle)
+    if not hashes:
+        return 0
     lanes = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8) + _LANE
     seen = np.bincount(lanes.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
     return int.from_bytes(np.packbits((2 * seen > len(hashes)).ravel(), bitorder="little").tobytes(), "little")
@@ -225,8 +231,20 @@ def simhash_links(distinct: DataFrame) -> DataFrame:
     return map_arrow(ordered, _link_cells, "src long, dst long")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs`` by the stages' rule.
+
+    Linked are documents whose sets of five-word shingles have a similarity of
+    0.8 or more; fp stands for the set (``near_dup``). The contract of op8, 4
+    bits of a fingerprint over four words, is ``hamming_components``.
+    """
+    from loomwork.llm.near_dup import near_components
+
+    return near_components(docs, id_col, text_col)
+
+
+def hamming_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``, linked at 4 or fewer bits.
 
     component_id is the smallest doc_id that links reach; texts without a word
     (null, empty, white space) share fingerprint zero and link like any other.
@@ -235,7 +253,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     found = materialize(fingerprints(docs, id_col, text_col, shingle))
     distinct = materialize(found.select("fp").distinct())
-    parts = connected_components(simhash_links(distinct))
+    return name_components(found, simhash_links(distinct))
+
+
+def name_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``found`` (doc_id, fp), whose fps ``links`` (src, dst) join."""
+    distinct = found.select("fp").distinct()
+    parts = connected_components(links)
     labelled = distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
         distinct["fp"].alias("_fp"), F.coalesce("component", distinct["fp"]).alias("_part")
     )
@@ -247,13 +271,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest id.
+    """``docs`` with one document of each near-duplicate group: the smallest id."""
+    return one_of_each(docs, simhash_components(docs, id_col, text_col), id_col)
+
+
+def one_of_each(docs: DataFrame, parts: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with the document of the smallest id of each component of ``parts``.
 
     All columns stay. Repeated rows of a kept id count as copies of each other
     and leave one; rows whose id is null are kept only if nothing stands for
     their group.
     """
-    parts = simhash_components(docs, id_col, text_col)
     stands = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = materialize(parts.groupBy("doc_id").agg(F.max(stands).alias("stands"), F.count("*").alias("rows")).where("NOT stands OR rows > 1"))
     # the few ids that go, not the many that stay: a join that can broadcast moves no text
