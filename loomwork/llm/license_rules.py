@@ -1,6 +1,6 @@
 """Licence signatures: ordered rules of (label, priority, keyword, pattern).
 
-Patterns run on lower-case text. A rule is tried only if its keyword occurs.
+Patterns run on lower-case text with single spaces. A rule is tried only if its keyword occurs.
 Higher priority wins where one detection lies inside another; among equals the
 earlier rule does. Families with versions are written once and spelled out for
 each version.
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 _GAP = r"[\s,;:()\"'“”/-]{1,4}"
 _V = r"(?:[\s,;:(]{1,3}(?:as published by the free software foundation[\s,;:]{1,3})?(?:either )?(?:version|ver\.?|v\.?)?[\s.]{0,2})"
-_LATER = r"[\s,;:)]{1,4}(?:or|and)[\s(]{1,2}(?:\(?at your option\)?[\s,]{1,2})?any later version|\+|[\s,;:)]{1,4}or[\s-]later"
+_LATER = r"(?: of (?:the|this) licen[cs]e)?[\s,;:)]{1,4}(?:or|and)[\s(]{1,2}(?:\(?at your option\)?[\s,]{1,2})?any later version|\+|[\s,;:)]{1,4}or[\s-]later"
 
 
 @dataclass(frozen=True)

@@ -8,8 +8,9 @@ suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import ahocorasick
 import pyarrow as pa
@@ -25,6 +26,9 @@ _FOLD = bytes(
     c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 32 for c in range(256)
 )
 
+_SPACE = re.compile(r"\s+")
+_SPACES = re.compile(r"\s\s+")
+
 
 @dataclass(frozen=True)
 class Detection:
@@ -54,13 +58,26 @@ class Scanner:
         return sorted({i for _, numbers in self.automaton.iter(lowered) for i in numbers})
 
     def scan(self, lowered: str) -> list[Detection]:
-        """Detections that no other suppresses, by place."""
+        """Detections that no other suppresses, by place.
+
+        Rules see each run of white space as one space, so that a wrapped text
+        matches; places are those of ``lowered``.
+        """
+        plain = _SPACE.sub(" ", lowered)
         found = [
             Detection(self.rules[i].label, m.start(), m.end(), self.rules[i].priority, i)
-            for i in self.candidates(lowered)
-            for m in self.patterns[i].finditer(lowered)
+            for i in self.candidates(plain)
+            for m in self.patterns[i].finditer(plain)
         ]
-        return suppress(found)
+        if not found or len(plain) == len(lowered):
+            return suppress(found)
+        # places[k] of the plain text and all after it lie shifts[k] further on
+        places, shifts = [0], [0]
+        for m in _SPACES.finditer(lowered):
+            places.append(m.start() - shifts[-1] + 1)
+            shifts.append(shifts[-1] + m.end() - m.start() - 1)
+        origin = lambda at: at + shifts[bisect_right(places, at) - 1]
+        return suppress([replace(d, start=origin(d.start), end=origin(d.end - 1) + 1) for d in found])
 
 
 def suppress(found: list[Detection]) -> list[Detection]:

@@ -90,3 +90,23 @@ def test_frames(spark):
     assert sorted((r["doc_id"] or 0, r["n_words"], r["n_base"]) for r in got) == want
     assert all(0 <= r["score"] <= 1 for r in got)
     assert license_scan.scan_licenses(empty(spark)).count() == 0
+
+
+WRAPPED = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\n  modification, are permitted", "bsd"),
+    ("under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.", "gpl-3.0-or-later"),
+    ("the terms of the GNU Lesser General Public\n    License as published by the Free Software Foundation; either\n    version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1-or-later"),
+    ("GNU General Public License, version 2 of this License, or any later version", "gpl-2.0-or-later"),
+    ("Licensed under the Apache\nLicense,\r\n   Version 2.0 (the \"License\");\nyou may not use this file", "apache,apache-2.0"),
+]
+
+
+@pytest.mark.parametrize("text,labels", WRAPPED)
+def test_wrapped_texts(scanner, text, labels):
+    got = license_scan.scan_text(text, scanner)
+    assert got["labels"] == ",".join(sorted(set(labels.split(",")) | set(filter(None, got["base_labels"].split(",")))))
+    assert {s[0] for s in got["spans"]} <= set(labels.split(","))
+    flat = " ".join(text.split())
+    for (a, x, y, _), (b, u, v, _) in zip(got["spans"], license_scan.scan_text(flat, scanner)["spans"], strict=True):
+        assert a == b and " ".join(text[x:y].split()) == flat[u:v]
