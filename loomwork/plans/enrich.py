@@ -60,10 +60,11 @@ def themes(scores: DataFrame, topics: DataFrame, rules: list[ThemeRule], least:
     return best.join(topics, "topic_id").select("id", case.alias("theme")).where("theme IS NOT NULL")
 
 
-def tokens(rows: DataFrame, text: str, pattern: str = "[a-z]+") -> DataFrame:
-    """(id, pos, token): lower-case tokens of a text in order."""
-    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0))
-    return rows.select("id", F.posexplode(found).alias("pos", "token"))
+def tokens(rows: DataFrame, text: str, pattern: str = r"\p{L}+", longest: int = 2) -> DataFrame:
+    """(id, token): lower-case tokens of a text and their space-joined runs up to ``longest``, as often as they come."""
+    t = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0))
+    runs = lambda n: F.when(F.size("_t") >= n, F.transform(F.sequence(F.lit(1), F.size("_t") - (n - 1)), lambda i: F.array_join(F.slice("_t", i, n), " "))).otherwise(F.array().cast("array<string>"))
+    return rows.select("id", t.alias("_t")).select("id", F.explode(F.concat(*[runs(n) for n in range(1, longest + 1)])).alias("token"))
 
 
 def ngrams(rows: DataFrame, text: str, longest: int, pattern: str = "[a-z0-9]+") -> DataFrame:
@@ -105,7 +106,10 @@ def tfidf(tokens_: DataFrame, n_docs: int, min_df: int = 2, max_df: float = 0.8,
     stats = tf.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     vocabulary = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs))).orderBy(F.desc("total"), "token").limit(features)
     vocabulary = vocabulary.select("token", (F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
-    return weigh(tf, vocabulary), vocabulary
+    # at most ``features`` rows, computed once; only known tokens are counted again
+    vocabulary = tokens_.sparkSession.createDataFrame(vocabulary.collect(), vocabulary.schema)
+    known = tokens_.join(F.broadcast(vocabulary.select("token")), "token", "left_semi")
+    return weigh(known.groupBy("id", "token").agg(F.count("*").alias("tf")), vocabulary), vocabulary
 
 
 def weigh(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -124,6 +128,11 @@ def best_topic(weights: DataFrame, topic_weights: DataFrame) -> DataFrame:
     return first_by(dots.withColumn("score", F.round("score", 9)), ["id"], [F.col("score").desc(), F.col("topic_id")])
 
 
+def every_topic(rows: DataFrame, best: DataFrame) -> DataFrame:
+    """(id, topic_id, score) for every row: topic -1 with score 0 where no topic shares a known term."""
+    return rows.select("id").join(best, "id", "left").select("id", F.coalesce("topic_id", F.lit(-1)).alias("topic_id"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def score_batches(rows: DataFrame, id_col: str, text_col: str, load, schema: str = "id long, score double"):
     """Scores of an external model: ``load()`` gives, once a task, a function from a list of texts to scores."""
     import pandas as pd

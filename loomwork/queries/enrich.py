@@ -93,11 +93,34 @@ def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best topic of each document by tf-idf cosine; topics are benchmark items."""
     docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    weights, vocabulary = enrich.tfidf(enrich.tokens(docs, "text"), docs.count(), features=2000)
-    topics = enrich.tokens(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"), "text").groupBy("id", "token").agg(F.count("*").alias("tf"))
+    weights, vocabulary = enrich.tfidf(enrich.tokens(docs, "text", "[a-z]+", 1), docs.count(), features=2000)
+    topics = enrich.tokens(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"), "text", "[a-z]+", 1).groupBy("id", "token").agg(F.count("*").alias("tf"))
     return enrich.best_topic(weights, enrich.weigh(topics, vocabulary)).select("id", "topic_id", F.round("score", 6).alias("score"))
 
 
+_GRAMS = "(SELECT {id}, unnest(list_concat(t, [t[i] || ' ' || t[i + 1] for i in range(1, len(t))])) AS token FROM (SELECT {id}, regexp_extract_all(lower(text), '\\p{{L}}+') AS t FROM {table}))"
+
+
+@query(
+    f"""WITH tf AS (SELECT doc_id AS id, token, count(*) AS tf FROM {_GRAMS.format(id='doc_id', table='documents')} GROUP BY 1, 2),
+    voc AS (SELECT token, ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (SELECT token, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
+      WHERE df >= 2 AND df <= 0.8 * (SELECT count(*) FROM documents) ORDER BY total DESC, token LIMIT 10000),
+    raw AS (SELECT id, token, tf * idf AS x FROM tf JOIN voc USING (token)), w AS (SELECT id, token, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM raw),
+    ttf AS (SELECT item_id AS id, token, count(*) AS tf FROM {_GRAMS.format(id='item_id', table='benchmark')} GROUP BY 1, 2),
+    traw AS (SELECT id, token, tf * idf AS x FROM ttf JOIN voc USING (token)), tw AS (SELECT id AS topic_id, token, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS tw FROM traw),
+    dots AS (SELECT id, topic_id, round(sum(w * tw), 9) AS score FROM w JOIN tw USING (token) GROUP BY 1, 2),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, topic_id) AS k FROM dots) WHERE k = 1)
+    SELECT doc_id AS id, coalesce(topic_id, -1) AS topic_id, round(coalesce(score, 0), 6) AS score FROM documents LEFT JOIN best ON id = doc_id"""
+)
+def topic_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best topic of every document by tf-idf cosine over 10,000 1-2-grams of Unicode letters, -1 without one."""
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    weights, vocabulary = enrich.tfidf(enrich.tokens(docs, "text"), docs.count())
+    topics = enrich.tokens(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"), "text").groupBy("id", "token").agg(F.count("*").alias("tf"))
+    best = enrich.best_topic(weights, enrich.weigh(topics, vocabulary))
+    return enrich.every_topic(docs, best).select("id", "topic_id", F.round("score", 6).alias("score"))
+
+
 @query(
     """SELECT d.doc_id AS id, d.lang, coalesce(q.quality, -1) AS quality, coalesce(q.toxic, 0) AS toxic, coalesce(n.n, 0) AS turns FROM documents d
     LEFT JOIN (SELECT doc_id, min(quality) AS quality, min(toxic) AS toxic FROM labels GROUP BY 1) q USING (doc_id) LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) n ON conv_id = d.doc_id"""
