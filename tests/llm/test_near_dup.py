@@ -57,3 +57,15 @@ def test_op8_keeps_its_contract(spark):
     near = [i for i in range(3) if bin(simhash.fingerprint(texts[i]) ^ simhash.fingerprint(base)).count("1") <= 4]
     assert [got[i]["component_id"] for i in range(4)] == [0 if i in near else i for i in range(4)]
     assert near == [0, 1]
+
+
+def test_op8_awkward_rows(spark):
+    docs = documents(spark)
+    got = simhash.hamming_components(docs).collect()
+    assert len(got) == docs.count()
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert by[1] == by[2] == {1} and by[4] == by[5] == by[6] == {4}
+    assert by[8] == {8} and by[None] == {None}
+    assert simhash.hamming_components(empty(spark)).count() == 0
