@@ -71,9 +71,59 @@ def test_spilled_leaves_cover_both_sides():
     assert set(row) == set(range(500)) and len(row) > 500 and path.max() < 8
 
 
-def test_recall_on_the_test_table(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    x = np.array([r["embedding"] for r in df.orderBy("vec_id").collect()], dtype=np.float32)
-    links, _ = brute(x)
-    got = sum(r["n_links"] for r in rp_forest.embedding_links(df, leaf=32).collect())
-    assert got >= 0.99 * links.sum()
+def test_doubles_and_repeated_ids(spark):
+    """Numbers beyond 32 bits keep their direction; rows of one id stay rows of their own."""
+    rows = [(1, [1e300, 0.0]), (2, [1e300, 0.0]), (3, [1e-300, 1e-320]), (4, [0.0, 1e300]), (9, [1.0, 1.0]), (9, [-1.0, 0.2]), (9, [-1.0, 0.2])]
+    got = rp_forest.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    told = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got)
+    assert told == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (9, 0, 9), (9, 1, 9), (9, 1, 9)]
+
+
+def planted(n, seed):
+    """Vectors of 64 numbers, each twentieth with a partner of a cosine on either side of 0.9."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, 64))
+    m = n // 20
+    x[n - m :] = x[:m] + rng.standard_normal((m, 64)) * rng.uniform(0.1, 0.55, (m, 1))
+    x = x.astype(np.float32)
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    links = set()
+    for i in range(0, n, 2000):
+        a, b = np.nonzero(y[i : i + 2000] @ y.T >= 0.9)
+        links |= {(int(p) + i, int(q)) for p, q in zip(a, b) if p + i < q}
+    return x, links
+
+
+@pytest.mark.parametrize("leaf", [150, 20])
+def test_recall_of_planted_pairs(spark, leaf):
+    """64 numbers, trees of 8 and 11 levels; the deeper ones go on below the fitted cuts."""
+    x, links = planted(20_000, 11)
+    depth = rp_forest.depth_for(len(x), leaf, 0.9, rp_forest.SPILL)
+    assert depth == {150: 8, 20: 12}[leaf] and rp_forest.fit_tree(rp_forest.unit_rows(x), depth, 1).depth > np.log2(len(x) / rp_forest.NODE) - 2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r for r in rp_forest.embedding_links(df, leaf=leaf).collect()}
+    assert len(links) > 700
+    found = [got[a]["component_id"] == got[b]["component_id"] for a, b in links]
+    assert np.mean(found) >= 0.97
+    assert sum(r["n_links"] for r in got.values()) <= 2 * len(links)
+    linked = {v for pair in links for v in pair}
+    assert all(r["n_links"] == 0 and r["component_id"] == v for v, r in got.items() if v not in linked)
+
+
+def test_sketches_bound_the_angle():
+    x = rp_forest.unit_rows(clusters(800, 48, 3, 0.3) ** 3)
+    q = rp_forest.sketch_rows(x)
+    parts = rp_forest._Comparison(rp_forest.Index(), 0.9, 0, np.zeros(len(x), int), q)
+    assert (np.arccos(np.clip((x * parts.unit).sum(1), -1, 1)) <= parts.error + 1e-7).all()
+    cosine, sure_pairs, all_pairs = x @ x.T, set(), set()
+    for a, b, sure, _ in parts.links():
+        all_pairs |= set(zip(a.tolist(), b.tolist()))
+        sure_pairs |= set(zip(a[sure].tolist(), b[sure].tolist()))
+    want = {(i, j) for i, j in zip(*np.nonzero(cosine >= 0.9)) if i < j}
+    assert sure_pairs <= want <= all_pairs
+
+
+def test_trees_follow_the_depth():
+    few, many = (rp_forest.trees_for(d, 0.9, rp_forest.SPILL, 0.93) for d in (6, 20))
+    assert rp_forest.trees_for(0, 0.9, rp_forest.SPILL, 0.93) == 1 and 4 <= few < many < 64
+    assert rp_forest.depth_for(10**12, rp_forest.LEAF, 0.9, rp_forest.SPILL) > 30
