@@ -1,23 +1,23 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
-A page is read as a run of scored tokens: words score positive where pages
-with known content keep them and negative or nothing elsewhere, tags score
-negative. The weights come from labelled pages. One linear scan finds the
-contiguous region of the highest sum; its text is what the region holds
-outside boilerplate elements.
+A page is read as a run of scored tokens: words score by where they stand,
+tags score negative, and an element that is boilerplate as a whole counts as
+one tag. All weights come from labelled pages. One linear scan finds the
+contiguous region of the highest sum; its words are the text. Reading, scoring
+and scanning are linear in the page, however deep it nests.
 """
 
 from __future__ import annotations
 
 import html as html_lib
+import math
 import random
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +44,16 @@ IMPLIED_END = {
 }
 _SCOPES = frozenset("ul ol dl table select article main section div nav aside footer header form body".split())
 _MAIN = frozenset(("article", "main"))
-#: A word's element counts as boilerplate at or below this log odds.
+#: Elements whose size and contents say something, as their names say little.
+_GENERIC = frozenset("body center div li ol p section span table tbody td tr ul html".split())
+#: An element is boilerplate at or below this sum of log odds.
 BOILERPLATE = -1.0
+#: What a run of tags can cost at most: less than one word of content earns.
+TAG_RUN = 0.4
+#: Beginnings of a class name that say what an element stands beside.
+_BESIDE = ("with", "has", "no", "without")
+#: Endings of a class name that may say the state of a layout.
+_STATE = ("right", "left", "fixed", "sticky", "open", "closed", "visible", "on", "off")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)"
@@ -59,158 +67,222 @@ _HIDDEN = re.compile(r"(?:^|[\s\"'/])(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*[\"
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
-@dataclass(frozen=True)
-class Element:
-    name: str
-    features: tuple[str, ...]
-
-
-@dataclass(frozen=True)
-class Text:
-    """A text node: its block, the open elements, whether inside the page's main element."""
-
-    block: int
-    stack: tuple[Element, ...]
-    value: str
-
-
-@dataclass(frozen=True)
-class Tag:
-    name: str
-    stack: tuple[Element, ...]
+@dataclass
+class Page:
+    """Elements by number, parents before children; texts and tags in page order."""
+
+    parent: list[int] = field(default_factory=lambda: [-1])
+    name: list[str] = field(default_factory=lambda: [""])
+    features: list[tuple[str, ...]] = field(default_factory=lambda: [()])
+    gold: list[bool] = field(default_factory=lambda: [False])
+    #: (element, block, text, words), or (element, -1, tag name, 0)
+    events: list[tuple[int, int, str, int]] = field(default_factory=list)
+
+    def totals(self, own: list[int]) -> list[int]:
+        """Sums over each element and all it holds."""
+        out = own[:]
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def evidence(self) -> Iterator[tuple[str, ...]]:
+        """The features of each element: its tag, and for plain ones what they hold."""
+        n = len(self.name)
+        own, linked, heads = [0] * n, [0] * n, [0] * n
+        in_link, inside = [False] * n, [False] * n
+        for e in range(1, n):
+            above = self.parent[e]
+            inside[e] = inside[above] or self.name[above] in _MAIN or "role:main" in self.features[above]
+            in_link[e] = in_link[self.parent[e]] or self.name[e] == "a"
+            heads[self.parent[e]] += self.name[e] in ("h1", "article", "main")
+        for e, block, _, words in self.events:
+            if block >= 0:
+                own[e] += words
+                linked[e] += words * in_link[e]
+        held, linked, heads = self.totals(own), self.totals(linked), self.totals(heads)
+        every = held[0]
+        for e in range(n):
+            more: tuple[str, ...] = ()
+            if self.name[e] in _GENERIC and held[e]:
+                share = held[e] / every
+                if not inside[e]:
+                    more = ("share:all" if share >= 0.95 else "share:most" if share >= 0.6 else "share:some" if share >= 0.2 else "share:few",)
+                if held[e] >= 2 and linked[e] >= 0.6 * held[e]:
+                    more += ("links",)
+                if heads[e]:
+                    more += ("heads",)
+            if inside[e]:
+                more += ("inside",)
+            yield self.features[e] + more
 
 
+@lru_cache(maxsize=4096)
 def _features(name: str, attrs: str) -> tuple[str, ...]:
-    out = [name]
+    out = {name: None}
     if attrs:
         for m in _ATTR.finditer(attrs):
             value = m[2] or m[3] or m[4] or ""
             kind = "role" if m[1].lower() == "role" else "class"
             for word in value.split():
                 parts = [p.lower() for p in _PARTS.findall(word)]
-                if parts and parts[0] not in ("with", "has", "no", "without"):
-                    out += [f"{kind}:{p}" for p in parts]
+                if parts and parts[0] not in _BESIDE:
+                    told = kind if len(parts) == 1 else "state" if parts[-1] in _STATE else "part"
+                    out |= dict.fromkeys(f"{told}:{p}" for p in parts)
         if _HIDDEN.search(attrs):
-            out.append("hidden")
+            out["hidden"] = None
+    if name in _GENERIC and len(out) > 1:
+        del out[name]
+        out[f"{name} named"] = None
     return tuple(out)
 
 
-def read_tokens(page: str) -> Iterator[Text | Tag]:
-    """Text nodes and tags in page order, with the elements open around them.
+def read_page(page: str) -> Page:
+    """Elements, texts and tags of a page.
 
     Scripts, styles and other raw elements give no text; an unfinished tag or
-    comment ends the page.
+    comment ends the page. What is open is kept by name too, so that a closing
+    tag or an implied end looks nothing up along the stack.
     """
-    stack: list[Element] = []
-    open_: tuple[Element, ...] = ()
+    out = Page()
+    stack = [0]
+    places: dict[str, list[int]] = {}
+    scopes: list[int] = []
     block, at, n = 0, 0, len(page)
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            name = out.name[stack.pop()]
+            places[name].pop()
+            if name in _SCOPES:
+                scopes.pop()
+
     while at < n:
         found = _TOKEN.search(page, at)
         stop = found.start() if found else n
         if stop > at:
-            yield Text(block, open_, page[at:stop])
+            text = page[at:stop]
+            out.events.append((stack[-1], block, text, len(text.split())))
         if not found:
-            return
+            break
         at = found.end()
         name = found["name"]
         if name is None:
             continue
         if not found["end"]:
-            return
+            break
         name = name.lower()
-        yield Tag(name, open_)
+        out.events.append((stack[-1], -1, name, 0))
         if name in BLOCK:
             block += 1
         elif name in ("br", "wbr"):
             if name == "br":
-                yield Text(block, open_, " ")
+                out.events.append((stack[-1], block, " ", 0))
             continue
         if found["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    open_ = tuple(stack)
-                    break
+            if places.get(name):
+                cut(places[name][-1])
             continue
         if name in VOID:
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
+            end = _raw_end(name).search(page, at)
             at = end.end() if end else n
             continue
         closes = ("p",) if name in BLOCK and name != "body" else ()
         closes += IMPLIED_END.get(name, ())
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].name in closes:
-                del stack[i:]
-                break
-            if stack[i].name in _SCOPES and not (stack[i].name in closes):
-                break
+        last = max((places[c][-1] for c in closes if places.get(c)), default=0)
+        if last and (not scopes or last > scopes[-1]):
+            cut(last)
         if not found["attrs"].rstrip().endswith("/") or name in BLOCK:
-            stack.append(_element(name, found["attrs"]))
-        open_ = tuple(stack)
+            places.setdefault(name, []).append(len(stack))
+            if name in _SCOPES:
+                scopes.append(len(stack))
+            e = len(out.name)
+            out.parent.append(stack[-1])
+            out.name.append(name)
+            out.features.append(_features(name, found["attrs"]))
+            out.gold.append(out.gold[stack[-1]] or "data-gold" in found["attrs"])
+            stack.append(e)
+    return out
 
 
-@lru_cache(maxsize=4096)
-def _element(name: str, attrs: str) -> Element:
-    return Element(name, _features(name, attrs))
+@lru_cache(maxsize=16)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
 
 
 @dataclass(frozen=True)
 class Weights:
-    """``odds``: log odds by element feature that its words are content;
-    ``tags``: score of a tag outside and inside a main element;
-    ``outside``: score of a word outside the main element of a page that has one."""
+    """``odds``: log odds by element feature that the element holds content;
+    ``words``: score of a word on a page without a main element ("page"), in one ("main"), beside one ("beside");
+    ``tags``: score of a tag by name; ``element``: that of a boilerplate element."""
 
     odds: dict[str, float]
-    tags: dict[tuple[str, bool], float]
-    outside: float
-
-    def element(self, element: Element) -> float:
-        """The most negative evidence among an element's features."""
-        known = [self.odds[f] for f in element.features if f in self.odds]
-        if element.name in _MAIN or element.name in ("html", "body"):  # page frames carry layout classes
-            known = [self.odds[f] for f in element.features if f in self.odds and f.startswith("class:") and f[6:] in _COMMENT]
-        return min(known, default=0.0)
-
-    def word(self, stack: tuple[Element, ...]) -> float:
-        return min((self.element(e) for e in stack), default=0.0)
-
-
-_COMMENT = frozenset(("comment", "comments", "reply", "replies", "teaser", "related"))
-
-
-def _in_main(stack: tuple[Element, ...]) -> bool:
-    return any(e.name in _MAIN or "role:main" in e.features for e in stack)
-
-
-def train_weights(pages: list[str], gold: str = "gold") -> Weights:
-    """Weights from pages whose content blocks carry the class ``gold``."""
-    kept, gone = Counter(), Counter()
-    tag_kept, tag_all = Counter(), Counter()
-    outside_kept = outside_all = 0
-    mark = f"class:{gold}"
-    for page in pages:
-        tokens = list(read_tokens(page))
-        has_main = any(_in_main(t.stack) for t in tokens)
-        for t in tokens:
-            good = any(mark in e.features for e in t.stack)
-            if isinstance(t, Tag):
-                key = (t.name, _in_main(t.stack))
-                tag_all[key] += 1
-                tag_kept[key] += good
+    words: dict[str, float]
+    tags: dict[str, float]
+    element: float
+
+    def boilerplate(self, page: Page) -> list[bool]:
+        """Whether each element is boilerplate, or within one."""
+        out = [False] * len(page.name)
+        for e, features in enumerate(page.evidence()):
+            if e:
+                out[e] = out[page.parent[e]] or sum(self.odds.get(f, 0.0) for f in features) <= BOILERPLATE
+        return out
+
+
+def _in_main(page: Page, gone: list[bool]) -> list[bool]:
+    out = [False] * len(page.name)
+    for e in range(1, len(out)):
+        out[e] = not gone[e] and (out[page.parent[e]] or page.name[e] in _MAIN or "role:main" in page.features[e])
+    return out
+
+
+def _contexts(page: Page, gone: list[bool]) -> list[str]:
+    """The place of each element's words."""
+    main = _in_main(page, gone)
+    some = any(block >= 0 and words and main[e] for e, block, _, words in page.events)
+    return ["page" if not some else "main" if m else "beside" for m in main]
+
+
+def train_weights(pages: list[str]) -> Weights:
+    """Weights from pages whose content elements carry the attribute data-gold.
+
+    Elements with content stand against the outermost ones without; each feature
+    weighs by its smoothed log odds between the two.
+    """
+    kept, gone, n_kept, n_gone = Counter(), Counter(), 0, 0
+    word_kept, word_gone, tag_kept, tag_all = Counter(), Counter(), Counter(), Counter()
+    for text in pages:
+        page = read_page(text)
+        held = [0] * len(page.name)
+        good = [0] * len(page.name)
+        for e, block, _, words in page.events:
+            if block >= 0:
+                held[e] += words
+                good[e] += words * page.gold[e]
+        held, good = page.totals(held), page.totals(good)
+        rest = [bool(held[e]) and not good[e] for e in range(len(held))]
+        for e, features in enumerate(page.evidence()):
+            if not e or not held[e]:
                 continue
-            n = len(t.value.split())
-            if n and has_main and not _in_main(t.stack):
-                outside_all += n
-                outside_kept += n * good
-            features = {f for e in t.stack for f in e.features if f != mark and not (good and mark in e.features and f == e.name and f == "div")}
-            for f in features:
-                (kept if good else gone)[f] += n
-    odds = {f: float(np.log((kept[f] + 1) / (gone[f] + 1))) for f in {*kept, *gone}}
-    odds = {f: w for f, w in odds.items() if kept[f] == 0 or w > BOILERPLATE}  # what ever held content is no boilerplate
-    tags = {k: -0.4 * float(1 - (tag_kept[k] + 0.5) / (n + 1)) if not k[1] else -0.01 for k, n in tag_all.items()}
-    return Weights(odds, tags, -1.0 + 2 * (outside_kept + 0.0) / max(1, outside_all))
+            if good[e]:
+                kept.update(features)
+                n_kept += 1
+            elif good[page.parent[e]] or page.parent[e] == 0 or not rest[page.parent[e]]:
+                gone.update(features)
+                n_gone += 1
+        places = _contexts(page, rest)
+        for e, block, name, words in page.events:
+            if block < 0:
+                tag_all[name] += 1
+                tag_kept[name] += page.gold[e]
+            elif not rest[e]:
+                (word_kept if page.gold[e] else word_gone)[places[e]] += words
+    odds = {f: math.log((kept[f] + 0.5) / (n_kept + 1)) - math.log((gone[f] + 0.5) / (n_gone + 1)) for f in sorted({*kept, *gone})}
+    score = lambda c: max(-1.0, min(1.0, math.log((word_kept[c] + 1) / (word_gone[c] + 1)) / 3))
+    tags = {t: -0.1 * (1 - tag_kept[t] / (n + 1)) for t, n in sorted(tag_all.items())}
+    return Weights(odds, {c: score(c) for c in ("page", "main", "beside")}, tags, -0.1)
 
 
 def extract_main_text(page: str | None, weights: Weights | None = None) -> str:
@@ -218,69 +290,126 @@ def extract_main_text(page: str | None, weights: Weights | None = None) -> str:
     if not page:
         return ""
     weights = weights or default_weights()
-    tokens = list(read_tokens(page))
-    cache: dict[tuple, tuple[float, bool]] = {}
-
-    def context(stack: tuple[Element, ...]) -> tuple[float, bool]:
-        if stack not in cache:
-            cache[stack] = (weights.word(stack), _in_main(stack))
-        return cache[stack]
-
-    has_main = any(isinstance(t, Text) and context(t.stack)[1] and context(t.stack)[0] > BOILERPLATE and t.value.strip() for t in tokens)
-    scores, content = [], []
-    for t in tokens:
-        odds, inside = context(t.stack)
-        plain = odds > BOILERPLATE
-        if isinstance(t, Tag):
-            scores.append(weights.tags.get((t.name, inside), -0.01 if inside else -0.2) if plain else 0.0)
-            content.append(False)
-            continue
-        words = len(t.value.split())
-        good = plain and (inside or not has_main)
-        if plain and not good:
-            scores.append(words * weights.outside)
+    read = read_page(page)
+    gone = weights.boilerplate(read)
+    places = _contexts(read, gone)
+    best, best_from, best_to, run, begin, tags = 0.0, 0, 0, 0.0, 0, 0.0
+    for i, (e, block, name, words) in enumerate(read.events):
+        if block < 0 or gone[e]:
+            cost = weights.element if gone[e] else weights.tags.get(name, -0.05)
+            s, tags = max(cost, -TAG_RUN - tags), max(-TAG_RUN, tags + cost)
+        elif words:
+            s, tags = words * weights.words[places[e]], 0.0
         else:
-            scores.append(float(words) if good else 0.0)
-        content.append(good)
-    best, best_from, best_to, run, begin = 0.0, 0, 0, 0.0, 0
-    for i, s in enumerate(scores):
+            continue
         if run <= 0:
             run, begin = 0.0, i
         run += s
         if run > best:
             best, best_from, best_to = run, begin, i + 1
     blocks: dict[int, list[str]] = {}
-    for t, good in zip(tokens[best_from:best_to], content[best_from:best_to]):
-        if good:
-            blocks.setdefault(t.block, []).append(html_lib.unescape(t.value))
-    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
+    for e, block, text, _ in read.events[best_from:best_to]:
+        if block >= 0 and not gone[e]:
+            blocks.setdefault(block, []).append(text)
+    lines = (" ".join(html_lib.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
 
 
+# Words that fill the labelled pages, and the names that sites give to the parts of a page.
 _WORDS = "the of and to in a is that for it was on are as with his they be at one have this from or had by hot word but what some we can out other were all there when up use your how said each she which do their time if will way about many then them write would like so these her long make thing see him two has look more day could go come did number sound no most people my over know water than call first who may down side been now find".split()
+_NAMES = {
+    "menu": "menu nav navigation navbar topnav subnav sidenav mainnav menubar dropdown breadcrumb breadcrumbs pager pagination toolbar topbar skiplink hauptmenu navigacion",
+    "header": "header masthead siteheader pageheader logo banner kopfzeile entete cabecera headers",
+    "footer": "footer sitefooter pagefooter colophon copyright legal impressum fusszeile pied pie footers imprint",
+    "side": "sidebar aside widget widgets rail seitenleiste barre lateral related recommended recommendations teaser tagcloud sidebars similar popular",
+    "notice": "notice cookie cookies consent gdpr alert notification announcement disclaimer banner popup modal overlay hinweis avis aviso paywall newsletter subscribe notices cookiebar cookieconsent",
+    "advert": "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion adbox adslot adsbygoogle werbung anzeige publicite pub publicidad anuncio taboola outbrain",
+    "comments": "comments comment commentlist replies reply responses respond disqus usercomments kommentare kommentar commentaires commentaire comentarios comentario",
+    "form": "form search login signup contact anmeldung connexion suche recherche buscar register",
+    "share": "share sharing social follow tags byline tools teilen partager compartir",
+}
+_CONTENT = "content article post entry story text body main inhalt contenu contenido article-body post-content entry-content page-content haupttext".split()
+_LAYOUT = "page wrapper container layout site outer inner row wrap grid app root canvas".split()
+_SIDE_OF_LAYOUT = "sidebar-right sidebar-left header-fixed menu-open nav-open with-sidebar no-sidebar has-header footer-sticky banner-visible ads-off col-8 js light".split()
+_TAGS = {"menu": ["nav", "menu"], "header": ["header"], "footer": ["footer"], "side": ["aside"], "form": ["form", "fieldset"], "notice": ["dialog", "noscript"], "advert": ["aside", "iframe", "object"]}
+_ROLES = {"menu": "navigation", "header": "banner", "footer": "contentinfo", "side": "complementary", "form": "search", "notice": "alert"}
 
-#: Skeletons of labelled pages. {N} stands for N words; content is in class gold.
-_SKELETONS = (
-    '<body><nav><ul><li><a href="/x">{1}</a></li><li><a href="/y">{2}</a></li></ul></nav><div class="ad">{9}</div><article><h1 class="gold">{6}</h1><p class="gold">{40}</p><p class="gold">{30} <b>{3}</b> <a href="/z">{2}</a> <span>{2}</span> <em>{2}</em> <small>{1}</small> <code>{1}</code> {20}</p><ul class="gold"><li>{6}</li><li>{8}</li></ul></article><footer>{12}</footer></body>',
-    '<body><header><h2>{3}</h2><nav><a>{1}</a><a>{1}</a></nav></header><main><h1 class="gold">{8}</h1><p class="gold">{60}</p><blockquote class="gold">{14}</blockquote><aside>{16}</aside><p class="gold">{50}</p></main><aside class="sidebar"><h3>{2}</h3><p>{12}</p></aside><footer><p>{10}</p></footer></body>',
-    '<body><div class="header"><div class="logo">{2}</div><div class="menu">{8}</div></div><div class="content"><div class="post gold"><h1>{5}</h1><p>{70}</p><p>{45}</p><table><tr><td>{3}</td><td>{4}</td></tr></table></div></div><div class="sidebar"><p>{20}</p></div><div class="footer">{14}</div></body>',
-    '<body><div class="cookie-notice">{22}<button>{1}</button></div><div id="nav">{6}</div><div id="main"><h1 class="gold">{6}</h1><section class="gold"><p>{35}</p><p>{35}</p></section><div class="share">{4}</div><div class="related"><a>{5}</a><a>{6}</a></div></div><div id="comments"><h3>{1}</h3><div class="comment"><p>{25}</p></div></div></body>',
-    '<body><nav class="breadcrumb">{4}</nav><article><p class="gold">{50}</p><figure class="gold"><figcaption>{9}</figcaption></figure><div class="advert">{11}</div><p class="gold">{42}</p><pre class="gold">{12}</pre><form><label>{2}</label><select><option>{1}</option></select></form><section class="comments"><p>{30}</p></section></article><footer id="colophon"><span>{9}</span></footer></body>',
-    '<body><div class="banner">{7}</div><div class="popup modal">{9}</div><div class="newsletter subscribe">{10}</div><div class="story gold"><h2>{6}</h2><p>{55}</p><h3>{3}</h3><p>{44}</p><ol><li>{5}</li></ol></div><div class="pagination">{3}</div><div class="widget recommended">{13}</div><div class="copyright legal">{10}</div></body>',
-    '<body><div class="topbar toolbar">{5}</div><div role="banner">{4}</div><div role="navigation">{6}</div><div role="main"><p class="gold">{48}</p><p class="gold">{52}</p></div><div role="complementary">{18}</div><div role="contentinfo">{8}</div><div role="search">{2}</div><div role="alert">{9}</div></body>',
-    '<body><div class="ads sponsor">{8}</div><div class="promo">{7}</div><div class="notice">{12}</div><div class="entry gold"><p>{61}</p><div>{20}</div><p>{33}</p></div><div class="replies"><div class="reply">{22}</div></div><div class="social">{3}</div><div class="login">{2}</div><div class="tags">{4}</div><dialog>{8}</dialog><menu>{3}</menu></body>',
-    '<body><div class="advertisement sponsored">{9}</div><div class="notices">{12}</div><div class="sidebars">{15}</div><div class="text gold"><p>{58}</p><p>{37}</p></div><div class="disclaimer">{14}</div><div class="consent gdpr cookies cookie">{16}</div><div class="navigation navbar">{6}</div><div class="footers">{6}</div><div class="headers masthead">{6}</div><div class="commentlist respond disqus">{30}</div><div class="dropdown menus">{6}</div><div class="hidden" hidden>{9}</div><div class="teaser outbrain taboola">{14}</div><svg><text>{2}</text></svg><noscript>{6}</noscript><template>{5}</template><fieldset>{4}</fieldset><button>{1}</button><object>{2}</object></body>',
-    '<body><div class="adbox adslot adsbygoogle">{9}</div><div class="topnav subnav sidenav leftnav navigation">{8}</div><div class="cookiebar cookieconsent">{12}</div><div class="breadcrumbs pager skiplink">{4}</div>'
-    '<div class="article-body gold"><p>{64}</p><p>{41}</p></div><div class="sharing signup paywall overlay">{9}</div><div class="alert notification announcement">{11}</div><div class="recommendations tagcloud widgets">{12}</div>'
-    '<div class="usercomments responses replies">{30}</div><div class="siteheader pageheader">{5}</div><div class="sitefooter pagefooter">{9}</div><div class="sponsors advertising adverts advertorial">{10}</div></body>',
-)
 
+def labelled_pages(seed: int = 3, n: int = 1500) -> list[str]:
+    """Pages drawn by seed, their content elements marked data-gold.
 
-def labelled_pages(seed: int = 3, each: int = 4) -> list[str]:
-    """The labelled pages: each skeleton several times with words drawn by seed."""
+    Each draws its wrappers, the parts around and within the article, how a part
+    is marked (tag, role, class or id with another word beside it), and sizes
+    from a word to more than the article's.
+    """
     rng = random.Random(seed)
-    fill = lambda m: " ".join(rng.choice(_WORDS) for _ in range(int(m[1])))
-    return [re.sub(r"\{(\d+)\}", fill, page) for page in _SKELETONS for _ in range(each)]
+    words = lambda k: " ".join(rng.choice(_WORDS) for _ in range(k))
+    link = lambda k: f'<a href="/{rng.choice(_WORDS)}">{words(k)}</a>'
+
+    def inside(kind: str) -> str:
+        if kind in ("menu", "share"):
+            items = [link(rng.randint(1, 3)) for _ in range(rng.randint(2, 9))]
+            return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>" if rng.random() < 0.6 else " ".join(items)
+        if kind == "form":
+            return f"<label>{words(2)}</label><input name=q><select><option>{words(1)}</option></select><button>{words(1)}</button>"
+        if kind == "comments":
+            one = lambda: f"<div class=\"comment\"><b>{words(1)}</b><p>{words(rng.randint(5, 40))}</p></div>"
+            return f"<h3>{words(1)}</h3>" + "".join(one() for _ in range(rng.randint(1, 8)))
+        if kind == "side":
+            return f"<h3>{words(2)}</h3>" + "".join(rng.choice([f"<p>{words(rng.randint(4, 30))}</p>", f"<ul><li>{link(3)}</li><li>{link(4)}</li></ul>"]) for _ in range(rng.randint(1, 4)))
+        return rng.choice(["{}", "<p>{}</p>", "<span>{}</span>"]).format(words(rng.randint(2, 40)))
+
+    def part(kind: str) -> str:
+        how, name = rng.random(), rng.choice(_NAMES[kind].split())
+        if how < 0.35 and kind in _TAGS:
+            tag = rng.choice(_TAGS[kind])
+            return f"<{tag}>{inside(kind)}</{tag}>"
+        if how < 0.45 and kind in _ROLES:
+            return f'<div role="{_ROLES[kind]}">{inside(kind)}</div>'
+        if how < 0.5:
+            return f"<div hidden>{inside('notice')}</div>"
+        if how < 0.55 and kind == "menu":
+            return f"<ul>{''.join('<li>' + link(1) + '</li>' for _ in range(5))}</ul>"
+        spelt = rng.choice(["{}", "{}", "{}", "{}-right", "{}-fixed", "{}-box", "site-{}", "main-{}", "{}-1", "{}_wrap", "js-{}", "{} clearfix", "top-{}", "{}-section"]).format(name)
+        tag = rng.choice(["div", "div", "div", "section", "span" if kind == "advert" else "div", "article" if kind == "comments" else "div"])
+        return f'<{tag} {rng.choice(["class", "class", "id"])}="{spelt}">{inside(kind)}</{tag}>'
+
+    def paragraph() -> str:
+        extra = rng.choice(["", "", f" <b>{words(2)}</b> ", f" {link(2)} ", f" <em>{words(1)}</em> <span>{words(2)}</span> ", f" <code>{words(1)}</code><small>{words(1)}</small> "])
+        return f"<p>{words(rng.randint(3, 60))}{extra}{words(rng.randint(1, 30))}</p>"
+
+    def block() -> str:
+        kinds = [f"<h2>{words(4)}</h2>", f"<ul><li>{words(5)}</li><li>{words(7)}</li></ul>", f"<ol><li>{link(4)}</li><li>{link(3)}</li></ol>", f"<blockquote>{words(12)}</blockquote>"]
+        kinds += [f"<table><tr><th>{words(1)}</th><td>{words(3)}</td></tr></table>", f"<pre>{words(8)}</pre>", f"<figure><figcaption>{words(7)}</figcaption></figure>", f"<div>{words(9)}</div>"]
+        kinds += [f"<div><div><section>{paragraph()}</section></div></div>", f"<header><h2>{words(5)}</h2></header>" if rng.random() < 0.1 else f"<dl><dt>{words(1)}</dt><dd>{words(6)}</dd></dl>"]
+        return rng.choice(kinds)
+
+    def article() -> str:
+        pieces = [f"<h1 data-gold>{words(rng.randint(2, 9))}</h1>"] if rng.random() < 0.7 else []
+        for _ in range(rng.randint(1, 8)):
+            piece = paragraph() if rng.random() < 0.7 else block()
+            pieces.append(re.sub(r"^<(\w+)", r"<\1 data-gold", piece))
+            if rng.random() < 0.12:
+                pieces.append(part(rng.choice(["advert", "side", "share", "comments", "form", "notice"])))
+        body, how = "".join(pieces), rng.random()
+        if how < 0.35:
+            return f"<{(t := rng.choice(['article', 'main']))}>{body}</{t}>"
+        if how < 0.42:
+            return f'<div role="main">{body}</div>'
+        side = f" {rng.choice(_SIDE_OF_LAYOUT)}" if rng.random() < 0.3 else ""
+        return f'<div {rng.choice(["class", "id"])}="{rng.choice(_CONTENT)}{side}">{body}</div>' if how < 0.85 else body
+
+    def page() -> str:
+        before = "".join(part(k) for k in rng.sample(["menu", "header", "notice", "advert", "form"], rng.randint(0, 4)))
+        after = "".join(part(k) for k in rng.sample(["footer", "side", "comments", "advert", "share", "notice", "menu"], rng.randint(0, 5)))
+        inner = before + (article() if rng.random() < 0.93 else "") + after
+        for _ in range(rng.randint(0, 2)):
+            classes = [rng.choice(_LAYOUT), *rng.sample(_SIDE_OF_LAYOUT, rng.randint(0, 2))]
+            inner = f'<div class="{" ".join(classes)}">{inner}</div>'
+        state = f' class="{rng.choice(_SIDE_OF_LAYOUT)}"' if rng.random() < 0.3 else ""
+        return f"<html><head><title>{words(4)}</title></head><body{state}>{inner}</body></html>"
+
+    return [page() for _ in range(n)]
 
 
 @lru_cache(maxsize=1)
@@ -293,10 +422,11 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     A null or empty html, or one without content, has the text ''. Repeated
     rows and null ids are returned as they come; other columns are not read.
+    The weights are trained once, by the driver.
     """
+    weights = default_weights()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = default_weights()
         for batch in batches:
             texts = [extract_main_text(h.as_py(), weights) for h in batch.column(2)]
             sizes = pa.array([len(t) for t in texts], pa.int64())

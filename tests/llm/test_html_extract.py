@@ -1,5 +1,7 @@
 import html
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -34,26 +36,90 @@ def test_cases(page, want):
     assert he.extract_main_text(page) == want
 
 
+WORDS = " ".join(["word"] * 40)
+PROBES = [
+    (f'<div class="content sidebar-right"><p>{WORDS}</p></div>', WORDS),
+    (f'<div class="page header-fixed"><p>{WORDS}</p></div>', WORDS),
+    ("<article><p>one two three</p></article><p>between here</p><article><p>four five six</p></article>", "one two three\nbetween here\nfour five six"),
+    ("<article><p>one two three</p></article><article><p>four five six</p></article>", "one two three\nfour five six"),
+    (f"<body><p>{WORDS}</p>" + "<div>" * 5 + "<p>End.</p>" + "</div>" * 5 + "</body>", WORDS + "\nEnd."),
+    (f"<body><p>{WORDS}</p>" + "<div>" * 500 + "<p>End.</p>" + "</div>" * 500 + "</body>", WORDS + "\nEnd."),
+    (f'<body><p>{WORDS}</p><div class="werbung">kauf jetzt</div><div class="kommentare"><p>hallo welt das ist</p></div></body>', WORDS),
+    (f'<body><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li></ul><div><p>{WORDS}</p></div><div id="footer">c</div></body>', WORDS),
+    (f"<article><h1>T</h1><p>{WORDS}</p><div>short</div><ul><li><a>x y</a></li></ul><section><p>one</p></section><table><tr><td>a</td></tr></table></article>", f"T\n{WORDS}\nshort\nx y\none\na"),
+]
+
+
+@pytest.mark.parametrize("page,want", PROBES)
+def test_probes(page, want):
+    assert he.extract_main_text(page) == want
+
+
+def seconds(page):
+    began = time.perf_counter()
+    he.extract_main_text(page)
+    return time.perf_counter() - began
+
+
+@pytest.mark.parametrize("make", [lambda k: "<font>" * k + "x y", lambda k: "<div>" * k + "deep" + "</b>" * k, lambda k: "<article>" + "<font><p>a</i>" * k, lambda k: "<ul><li>x" * k, lambda k: "<a " * k])
+def test_time_is_linear_in_nesting(make):
+    he.default_weights()
+    assert seconds(make(80_000)) < 12 * max(seconds(make(10_000)), 0.02)
+
+
 def test_very_long_page():
     words = "word " * 200_000
     assert he.extract_main_text(f"<nav>x</nav><article><p>{words}</p></article>") == words.strip()
-    assert he.extract_main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+    assert he.extract_main_text("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
 
 
 def test_weights_come_from_the_labelled_pages():
     w = he.default_weights()
-    assert w.odds["nav"] < he.BOILERPLATE and w.odds["class:sidebar"] < he.BOILERPLATE and w.odds["p"] > 0
-    assert all(v <= 0 for v in w.tags.values())
-
-
-def test_labelled_pages_are_recovered():
-    for page in he.labelled_pages():
-        gold = set()
-        for t in he.read_tokens(page):
-            if isinstance(t, he.Text) and any("class:gold" in e.features for e in t.stack):
-                gold |= set(t.value.split())
-        got = set(he.extract_main_text(page.replace("gold", "x")).split())
-        assert len(got & gold) >= 0.95 * len(gold)
+    assert w.odds["nav"] < he.BOILERPLATE and w.odds["class:sidebar"] < he.BOILERPLATE and w.odds["p"] > 0 and w.odds["class:werbung"] < he.BOILERPLATE
+    assert all(v <= 0 for v in w.tags.values()) and w.words["page"] > he.TAG_RUN and w.words["main"] > he.TAG_RUN
+
+
+def test_the_scan_decides():
+    """With words beside the main element against it, the same page gives another region."""
+    page = "<article><p>one two three</p></article><p>a b c d e f</p><article><p>four five</p></article>"
+    w = he.default_weights()
+    harsh = he.Weights(w.odds, w.words | {"beside": -1.0}, w.tags, w.element)
+    assert he.extract_main_text(page, w).split("\n")[-1] == "four five" and he.extract_main_text(page, harsh) == "one two three"
+
+
+def blocks_of(page):
+    """The labelled text, block by block, read by a parser of its own from pages without implied ends."""
+    out, gold, depth, text = [], None, 0, ""
+    for piece in re.split(r"(<[^>]*>)", page):
+        tag = re.match(r"</?(\w+)", piece)
+        if not tag:
+            text += piece if gold is not None else ""
+            continue
+        if tag[1] in he.BLOCK and gold is not None:
+            out.append(text)
+            text = ""
+        if tag[1] in he.VOID:
+            continue
+        if piece.startswith("</"):
+            depth -= 1
+            if gold is not None and depth < gold:
+                gold = None
+        else:
+            depth += 1
+            if "data-gold" in piece and gold is None:
+                gold = depth
+    return [" ".join(t.split()) for t in out if t.split()]
+
+
+def test_pages_kept_out_of_training_are_recovered():
+    """Whole texts against a parser of its own, on 400 pages of another seed."""
+    wrong = missed = words = 0
+    for page in he.labelled_pages(seed=99, n=400):
+        want, got = blocks_of(page), he.extract_main_text(page.replace(" data-gold", "")).split("\n")
+        words += sum(len(b.split()) for b in want)
+        missed += sum((Counter(" ".join(want).split()) - Counter(" ".join(got).split())).values())
+        wrong += [b for b in got if b] != want
+    assert missed <= 0.01 * words and wrong <= 0.06 * 400
 
 
 def test_table_equals_the_article_element(spark, sf_dir):
