@@ -24,13 +24,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a temporary folder is
-    made, once for each process.
+    Only on a local master, where driver and executors are one process, a
+    temporary folder stands in if the session names none, once for each process;
+    on a cluster that is an error.
     """
     global _own_scratch
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if _own_scratch is None:
         _own_scratch = "file://" + tempfile.mkdtemp(prefix="loomwork-")
     return _own_scratch
@@ -54,16 +57,19 @@ def materialize(df: DataFrame) -> DataFrame:
 BATCH_ROWS = 1000
 
 
-def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` in batches of BATCH_ROWS rows.
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows for the whole session, if it has more.
 
-    The number of rows is a session setting that is read when the plan runs;
-    it is lowered where the session has Spark's default and left alone where
-    it was set to less.
+    The setting is read when a plan runs, so an operator cannot set it for
+    itself; the registered queries and the pipeline call this, operators do not.
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow``; batches are bounded by the session's maxBytesPerBatch and maxRecordsPerBatch."""
     return df.mapInArrow(function, schema)
 
 

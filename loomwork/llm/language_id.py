@@ -25,6 +25,9 @@ from loomwork.llm.common import map_arrow, materialize, packed
 ORDER = 4
 #: Training texts of a language, at most: those of the smallest id hashes.
 SAMPLE_PER_LANGUAGE = 800
+#: Characters of the training texts of all languages together, at most; a
+#: language has an equal share, and its first text whatever its length.
+SAMPLE_CHARS = 64_000_000
 #: Every so many training texts one calibrates instead of being counted.
 CALIBRATE_EVERY = 5
 #: Rejected: cross-entropy above the calibration's mean by so many standard
@@ -53,8 +56,9 @@ def symbols(text: str) -> np.ndarray:
     keep = letter.copy()
     keep[0] = True
     keep[1:] |= letter[:-1]
-    out = np.where(letter, codes ^ (codes >> 16), _SPACE)[keep]
-    return out.astype(np.uint64) & np.uint64(0xFFFF)
+    folded = (codes ^ (codes >> 16)) & 0xFFFF
+    folded[folded == _SPACE] = _SPACE + 1  # no letter folds to the space
+    return np.where(letter, folded, _SPACE)[keep].astype(np.uint64)
 
 
 def grams(stream: np.ndarray, n: int) -> np.ndarray:
@@ -213,23 +217,30 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_texts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> dict[str, list[str]]:
-    """At most ``sample`` texts of each language, the smallest id hashes first.
+    """At most ``sample`` whole texts of each language, the smallest id hashes first.
+
+    A language's texts stop where their characters would exceed its share of
+    SAMPLE_CHARS, so that the driver's memory is bounded.
 
     A language's count says below which hash its sample must lie, so that what
     is ranked is a few times the sample, however large the language.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out"))
     usable = rows.where("NOT out AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
-    narrow = materialize(usable.select("id", "lang", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 40)).alias("h")))
+    narrow = materialize(usable.select("id", "lang", F.length("text").alias("chars"), F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 40)).alias("h")))
     counts = narrow.groupBy("lang").agg(F.count("*").alias("n"))
     limits = materialize(counts.select(F.col("lang").alias("_l"), F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), (F.lit(2.0 * sample) + 100) / F.col("n"))).alias("_limit")))
-    few = limits.count() <= 10_000
+    n_languages = limits.count()
+    few = n_languages <= 10_000
     near = narrow.join(F.broadcast(limits) if few else limits, F.col("lang") == F.col("_l")).where("h < _limit")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = near.withColumn("rank", rank).where(F.col("rank") <= sample).groupBy(F.col("id").alias("_id")).agg(F.min("rank").alias("rank"))
+    share = F.lit(SAMPLE_CHARS) / F.lit(max(1, n_languages))
+    so_far = F.sum("chars").over(Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
+    first = near.withColumn("rank", rank).where(F.col("rank") <= sample).withColumn("so_far", so_far).where((F.col("rank") == 1) | (F.col("so_far") <= share))
+    chosen = first.groupBy(F.col("id").alias("_id")).agg(F.min("rank").alias("rank"))
     drawn = usable.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("lang", "rank", "text")
     out: dict[str, list[tuple[int, str]]] = {}
-    for lang, place, text in drawn.collect():  # bounded: sample texts a language
+    for lang, place, text in drawn.collect():  # bounded by SAMPLE_CHARS
         out.setdefault(lang, []).append((place, text))
     return {lang: [t for _, t in sorted(rows)[:sample]] for lang, rows in out.items()}
 

@@ -81,21 +81,19 @@ class Scanner:
 
 
 def suppress(found: list[Detection]) -> list[Detection]:
-    """Drop a detection that lies inside one before it in the rules' order.
+    """Drop a detection that lies inside another of higher order.
 
-    The order is priority, then length, then rule. Sorted by start and by
-    falling end, only intervals still open can contain the next.
+    The order is priority, then length, then rule. Sorted by start and falling
+    end, what contains a detection comes before it; it is of higher order if its
+    priority is no less. The furthest end by priority tells, so the cost is
+    linear in detections times priorities.
     """
-    strength = lambda d: (-d.priority, d.start - d.end, d.rule)
     out: list[Detection] = []
-    open_: list[Detection] = []
-    for d in sorted(found, key=lambda d: (d.start, -d.end, strength(d))):
-        open_ = [o for o in open_ if o.end >= d.end]
-        if not any(strength(o) < strength(d) for o in open_):
-            # an equal span of lower order that came before gives way
-            out = [o for o in out if not (o.start == d.start and o.end == d.end)]
+    reach: dict[int, int] = {}
+    for d in sorted(found, key=lambda d: (d.start, -d.end, -d.priority, d.rule)):
+        if not any(end >= d.end for priority, end in reach.items() if priority >= d.priority):
             out.append(d)
-        open_.append(d)
+        reach[d.priority] = max(reach.get(d.priority, 0), d.end)
     return out
 
 
@@ -110,9 +108,10 @@ def base_places(text: str) -> tuple[int, list[tuple[int, int, str]]]:
     places = []
     for phrase, label in BASE_PHRASES.items():
         needle = f" {phrase} ".encode()
-        at = joined.find(needle)
+        at, seen, first = joined.find(needle), 0, 0
         while at >= 0:
-            first = joined.count(b" ", 0, at)
+            first += joined.count(b" ", seen, at)
+            seen = at
             places.append((first, first + phrase.count(" ") + 1, label))
             at = joined.find(needle, at + 1)
     return len(words), sorted(places)
@@ -123,7 +122,7 @@ def scan_text(text: str | None, scanner: Scanner) -> dict:
     text = text or ""
     n_words, places = base_places(text)
     base = {label for _, _, label in places}
-    detections = scanner.scan(text.lower())
+    detections = scanner.scan(text.encode().lower().decode())  # bytes: A-Z alone
     labels = base | {d.label for d in detections}
     score = max([d.priority / 100 for d in detections] + [0.6] * bool(base), default=0.0)
     return {

@@ -31,6 +31,9 @@ SENTENCE_CUT = 8
 FORCED_CUT = 48
 #: Tokens between possible cuts inside a long sentence.
 FORCED = 64
+#: Price of a window that is short and a power of two: it has no padding but is
+#: a sequence more, so it pays at the end of a stream and not within.
+SHORT = 256
 #: Tokens planned at once; the last windows of a plan wait for what follows.
 HORIZON = 1 << 19
 _KEEP = 16
@@ -98,11 +101,11 @@ def cut_places(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray)
     return places, penalty
 
 
-def plan_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list[int]:
+def plan_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW, short: int = SHORT) -> list[int]:
     """The cheapest cuts: ascending places, the last included.
 
-    A window of n tokens costs window - n of padding, or nothing if n is a
-    power of two, plus the penalty of its end. Places lie at most ``window``
+    A window of n tokens costs window - n of padding, or SHORT at most if n is a
+    smaller power of two, plus the penalty of its end. Places lie at most ``window``
     apart.
     """
     n = len(places)
@@ -127,8 +130,8 @@ def plan_windows(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW)
         cost = value + window - here
         if j in exact:
             for k in exact[j]:
-                if best[k] < cost:
-                    cost, i = best[k], k
+                if best[k] + short < cost:
+                    cost, i = best[k] + short, k
         cost += price[j - 1]
         best[j], back[j] = cost, i
         key = cost + here

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from loomwork.llm import (
     simhash,
     site_quality,
 )
-from loomwork.llm.common import read_table
+from loomwork.llm.common import read_table, small_batches
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -80,9 +83,20 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _tuned(query: Query) -> Query:
+    """The query in a session with small Arrow batches."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (op1_mix, op2_embedding_dedup, op3_pack, op4_language_id, op5_extract, op6_reshard, op7_licenses, op8_simhash, op9_quality_rules, op10_site_quality)
-    return {f.__name__: f for f in operators} | {"pipeline": pipeline}
+    return {f.__name__: _tuned(f) for f in (*operators, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -126,10 +126,16 @@ def small_size(sized: DataFrame, share: float = SMALL_SHARE) -> int:
 
 
 def sized_documents(docs: DataFrame, id_col: str, text_col: str, old_col: str | None, old_shards: int) -> DataFrame:
-    """Scratch table of (row, doc_id, size, text_crc32, old, h, bucket)."""
+    """Scratch table of (row, doc_id, size, text_crc32, old, stray, h, bucket).
+
+    A row without a valid old shard is a stray: it is planned from the shard of its hash.
+    """
     spread = F.xxhash64(F.lit(SEED), F.col(id_col).cast("long"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    old = F.col(old_col).cast("int") if old_col else F.pmod(spread, F.lit(old_shards)).cast("int")
+    hashed = F.pmod(spread, F.lit(old_shards)).cast("int")
+    known = F.col(old_col).cast("int") if old_col else hashed
+    stray = ~F.coalesce(known.between(0, old_shards - 1), F.lit(False))
+    old = F.when(stray, hashed).otherwise(known)
     return materialize(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
@@ -137,6 +143,7 @@ def sized_documents(docs: DataFrame, id_col: str, text_col: str, old_col: str |
             (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             old.alias("old"),
+            stray.alias("stray"),
             spread.alias("h"),
             F.pmod(F.shiftrightunsigned(spread, 16), F.lit(_BUCKETS)).alias("bucket"),
         )
@@ -155,6 +162,10 @@ def reshard(
 
     Law ``bytes``: shard sizes are equal but for the small documents at the
     ends of runs. Old shards are the values 0..old_shards-1 of ``old_col``, or a hash of the id.
+    A row whose ``old_col`` is null or no such value is new: it is placed like a row of the
+    shard that its id's hash gives, its old_shard is null and it has moved.
+    Documents move one by one: rows of equal text carry the same checksum but may
+    lie in different shards, as a group of copies can exceed a shard.
     A null text has no bytes and the checksum of an empty one; repeated rows
     are placed one by one; a null id hashes like any other; an empty table
     gives an empty result.
@@ -174,7 +185,7 @@ def reshard(
             loads[r["shard"]] += int(r["s"])
     assigned = _assign(placed, runs)
     fixed = materialize(
-        assigned.select("row", "doc_id", "size", "text_crc32", "old", "h", "shard", (F.col("old") * _BUCKETS + F.col("bucket")).alias("cell"), F.lit(1).cast("long").alias("one"))
+        assigned.select("row", "doc_id", "size", "text_crc32", "old", "stray", "h", "shard", (F.col("old") * _BUCKETS + F.col("bucket")).alias("cell"), F.lit(1).cast("long").alias("one"))
     )
     slotted = prefix_sum(fixed, ["shard"], "cell", order, "one", "slot")
     return slotted.select(
@@ -185,8 +196,8 @@ def reshard(
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
-        F.col("old").alias("old_shard"),
-        (F.col("old") != F.col("shard")).alias("moved"),
+        F.when(~F.col("stray"), F.col("old")).alias("old_shard"),
+        (F.col("stray") | (F.col("old") != F.col("shard"))).alias("moved"),
     )
 
 
@@ -203,7 +214,7 @@ def rewrite_shards(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "d
     A shard changes if it loses or gains a document. Repeated ids are joined
     once, so each of their rows goes to the shard of the first.
     """
-    moved = plan.where("moved").select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
+    moved = plan.where("moved").select(F.explode(F.array("old_shard", "shard")).alias("shard")).where("shard IS NOT NULL").distinct()
     affected = sorted(r[0] for r in moved.collect())  # shard numbers, as many as there are shards
     where = plan.groupBy(F.col("doc_id").alias("_id")).agg(F.min("shard").alias("shard")).where(F.col("shard").isin(affected))
     rows = docs.join(where, docs[id_col].cast("long").eqNullSafe(F.col("_id"))).drop("_id")

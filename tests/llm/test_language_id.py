@@ -100,3 +100,26 @@ def test_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = lid.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.95
+
+
+def test_every_letter_is_a_symbol(spark):
+    """Letters whose 16 bits would be those of the space, beyond the basic plane too."""
+    for letter in ("\U00020022", "\U00010021", "a", "漢", "я"):
+        assert (lid.symbols(letter) != 32).any()
+    letters = np.flatnonzero(lid.letter_table())
+    codes = "".join(chr(c) for c in letters if chr(c).lower() == chr(c))
+    assert (lid.symbols(codes)[1:-1] != 32).all()
+    train = [(4 * i, "the quick brown fox and the lazy dog", "en") for i in range(40)] + [(4 * i + 1, "der schnelle Fuchs und der faule Hund", "de") for i in range(40)]
+    rows = [*train, (1000, "\U00020022\U00020022", None), (1001, "\U00010021", "en")]
+    got = {r["doc_id"]: r["lang_pred"] for r in lid.identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[1000] in ("en", "de") and got[1001] in ("en", "de")
+
+
+def test_characters_of_the_sample_are_bounded(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} " * 200, "en" if i % 2 else "de") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(lid, "SAMPLE_CHARS", 20_000)
+    texts = lid.training_texts(df, "doc_id", "text", "lang", 800)
+    assert set(texts) == {"en", "de"} and all(0 < sum(map(len, t)) <= 10_000 for t in texts.values())
+    monkeypatch.setattr(lid, "SAMPLE_CHARS", 10)
+    assert all(len(t) == 1 for t in lid.training_texts(df, "doc_id", "text", "lang", 800).values())

@@ -1,3 +1,5 @@
+import random
+import time
 import re
 
 import pytest
@@ -110,3 +112,34 @@ def test_wrapped_texts(scanner, text, labels):
     flat = " ".join(text.split())
     for (a, x, y, _), (b, u, v, _) in zip(got["spans"], license_scan.scan_text(flat, scanner)["spans"], strict=True):
         assert a == b and " ".join(text[x:y].split()) == flat[u:v]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_suppression_equals_brute_force(seed):
+    rng = random.Random(seed)
+    found = []
+    for rule in range(rng.randrange(1, 60)):
+        start = rng.randrange(30)
+        found.append(license_scan.Detection("x", start, start + rng.randrange(1, 30), rng.choice([50, 60, 80, 95]), rule))
+    strength = lambda d: (-d.priority, d.start - d.end, d.rule)
+    want = {d for d in found if not any(o.start <= d.start and o.end >= d.end and strength(o) < strength(d) for o in found)}
+    got = license_scan.suppress(found)
+    assert set(got) == want and [d.start for d in got] == sorted(d.start for d in got)
+
+
+@pytest.mark.parametrize("phrase", ["mit license ", "gnu general public license version 2 ", "apache license, version 2.0\n"])
+def test_time_is_linear_in_detections(scanner, phrase):
+    def seconds(k):
+        began = time.perf_counter()
+        license_scan.scan_text(phrase * k, scanner)
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(32_000) < 14 * max(seconds(4_000), 0.02)
+
+
+def test_only_ascii_is_lowered(scanner):
+    """A Kelvin sign is no k and a dotted capital I no i, for rules as for base phrases."""
+    assert license_scan.scan_text("M\u0130T LICENSE", scanner)["labels"] == ""
+    spans = license_scan.scan_text("\u0130\u0130 MIT License", scanner)["spans"]
+    assert spans and spans[0][1] == 3

@@ -14,25 +14,25 @@ def tokenizer():
     return packing.Tokenizer(*tokenizer_paths())
 
 
-def slow_cost(places, penalty, window):
+def slow_cost(places, penalty, window, short):
     at = [0, *places]
     best = [0] + [10**9] * len(places)
     for j in range(1, len(at)):
         for i in range(j):
             n = at[j] - at[i]
             if n <= window:
-                pad = 0 if n & (n - 1) == 0 else window - n
+                pad = window - n if n & (n - 1) else min(window - n, short)
                 best[j] = min(best[j], best[i] + pad + penalty[j - 1])
     return best[-1]
 
 
-def cost_of(cuts, places, penalty, window):
+def cost_of(cuts, places, penalty, window, short):
     price = dict(zip(places, penalty))
     out, last = 0, 0
     for c in cuts:
         n = c - last
         assert 0 < n <= window
-        out += (0 if n & (n - 1) == 0 else window - n) + price[c]
+        out += (window - n if n & (n - 1) else min(window - n, short)) + price[c]
         last = c
     return out
 
@@ -46,9 +46,10 @@ def test_plan_is_optimal(seed):
         p += rng.randrange(1, 30)
         places.append(p)
     penalty = [rng.choice([0, 3, 20]) for _ in places]
-    cuts = packing.plan_windows(np.array(places), np.array(penalty), window)
+    short = rng.choice([0, 5, 16])
+    cuts = packing.plan_windows(np.array(places), np.array(penalty), window, short)
     assert cuts[-1] == places[-1]
-    assert cost_of(cuts, places, penalty, window) == slow_cost(places, penalty, window)
+    assert cost_of(cuts, places, penalty, window, short) == slow_cost(places, penalty, window, short)
 
 
 def test_places_are_close():
@@ -111,3 +112,15 @@ def test_pieces_hold_their_ids(spark, tokenizer):
     rows = packing.pack_documents(documents(spark).where("doc_id = 3"), *tokenizer_paths(), with_ids=True).collect()
     ids = [x for r in sorted(rows, key=lambda r: r["start"]) for x in r["ids"]]
     assert ids == tokenizer.encode(prose(3, 120)).tolist() + [1]
+
+
+def test_no_more_sequences_than_needed(spark, tokenizer):
+    """Short windows of a power of two end a stream; they do not fill it."""
+    texts = {i: prose(i, 20 + i * 37 % 900) for i in range(200)}
+    packer = packing.Packer(tokenizer, 0)
+    rows = [r for i, t in texts.items() for r in packer.add(i, t)] + list(packer.close())
+    used: dict[int, int] = {}
+    for r in rows:
+        used[r["sequence_id"]] = used.get(r["sequence_id"], 0) + r["length"]
+    assert len(used) <= 1.02 * sum(used.values()) / packing.WINDOW + 2
+    assert sum(n < packing.WINDOW // 2 for n in used.values()) <= 2

@@ -95,3 +95,14 @@ def test_rewrite(spark, tmp_path):
     affected = resharding.rewrite_shards(docs, plan, out)
     back = {r["doc_id"]: r["shard"] for r in spark.read.parquet(out).collect()}
     assert back == {r["doc_id"]: r["shard"] for r in plan.collect() if r["shard"] in affected}
+
+
+def test_rows_without_a_valid_old_shard(spark):
+    """Null and unknown old shards are new rows: none is lost, all have moved."""
+    rows = [(i, f"text {i}", old) for i, old in enumerate([0, 1, None, 99, -1, 15, 3, None])]
+    got = {r["doc_id"]: r for r in resharding.reshard(spark.createDataFrame(rows, "doc_id long, text string, old int"), old_col="old").collect()}
+    assert len(got) == len(rows)
+    for i, _, old in rows:
+        known = old is not None and 0 <= old < 16
+        assert got[i]["old_shard"] == (old if known else None) and 0 <= got[i]["shard"] < 24
+        assert got[i]["moved"] == (not known or got[i]["shard"] != old)
