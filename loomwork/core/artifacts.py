@@ -1,7 +1,10 @@
 """Datasets published with manifests: atomic, resumable, fingerprinted.
 
 All file operations go through Hadoop's file systems, so a dataset may lie
-wherever Spark can write.
+wherever Spark can write. A dataset or file is replaced by two renames: the old
+one to ``<path>.old``, the new one in. Whatever fails or stops in between, a
+complete one remains, and the next call on that path puts things right. One
+writer a path at a time is assumed.
 """
 
 from __future__ import annotations
@@ -19,28 +22,68 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _rename(spark: SparkSession, source: str, target: str) -> bool:
+    fs, at = _fs(spark, source)
+    return fs.rename(at, _fs(spark, target)[1])
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement that stopped between its steps."""
+    old = f"{path}.old"
+    if not _is_there(spark, old):
+        return
+    if _is_there(spark, path):
+        remove(spark, old)
+    elif not _rename(spark, old, path):
+        raise OSError(f"cannot restore {path} from {old}")
+
+
+def replace(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete dataset or file ``new`` in the place of ``path``.
+
+    If it cannot be put there the old one is put back, ``new`` is kept, and an
+    OSError names both.
+    """
+    recover(spark, path)
+    old = f"{path}.old"
+    had = _is_there(spark, path)
+    if had and not _rename(spark, path, old):
+        raise OSError(f"cannot set {path} aside; the new dataset is {new}")
+    if not _rename(spark, new, path):
+        if had:
+            _rename(spark, old, path)
+        raise OSError(f"cannot rename to {path}; the new dataset is {new}")
+    if had:
+        remove(spark, old)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    recover(spark, path)
+    return _is_there(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small file, by a temporary name and a rename."""
-    fs, target = _fs(spark, path)
-    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(part, True)
+    """One small file, by a temporary name and a replacement."""
+    part = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs, target = _fs(spark, part)
+    out = fs.create(target, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    fs.rename(part, target)
+    replace(spark, part, path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
+    recover(spark, path)
     fs, target = _fs(spark, path)
     reader = spark.sparkContext._jvm.java.io.BufferedReader(
         spark.sparkContext._jvm.java.io.InputStreamReader(fs.open(target), spark.sparkContext._jvm.java.nio.charset.StandardCharsets.UTF_8)
@@ -53,7 +96,10 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None, compression: str = "zstd", row_group_bytes: int | None = None) -> None:
-    """Write beside ``path`` and rename, so that a failed run leaves the old dataset."""
+    """Write beside ``path`` and replace it, so that a failed run leaves the old dataset.
+
+    An unfinished write is removed; a complete one that could not be renamed is kept.
+    """
     spark = df.sparkSession
     part = f"{path}.{uuid.uuid4().hex}.tmp"
     rows = df.sortWithinPartitions(*sort_by) if sort_by else df
@@ -62,26 +108,37 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, sor
         writer = writer.option("parquet.block.size", str(row_group_bytes))
     try:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(part)
-        fs, target = _fs(spark, path)
-        fs.delete(target, True)
-        if not fs.rename(_fs(spark, part)[1], target):
-            raise OSError(f"cannot rename to {path}")
-    finally:
+    except BaseException:
         remove(spark, part)
+        raise
+    replace(spark, part, path)
 
 
 def export_chunks(df: DataFrame, path: str, key: str, chunks: int, sort_by: list[str]) -> list[int]:
     """Datasets ``path``/chunk=K by key modulo ``chunks``; those already there are skipped.
 
-    Returns the chunks written. A rerun after a failure goes on where it ended.
+    Returns the chunks written. One scan deals the rows of all missing chunks to
+    folders; each folder is then put in its place, so a rerun after a failure
+    goes on where it ended. A chunk without rows is an empty dataset.
     """
-    spark, written = df.sparkSession, []
-    for k in range(chunks):
-        target = f"{path}/chunk={k}"
-        if not exists(spark, f"{target}/_SUCCESS"):
-            publish(df.where(F.pmod(F.col(key), F.lit(chunks)) == k), target, sort_by=sort_by)
-            written.append(k)
-    return written
+    spark = df.sparkSession
+    missing = [k for k in range(chunks) if not exists(spark, f"{path}/chunk={k}/_SUCCESS")]
+    if not missing:
+        return []
+    part = f"{path}.{uuid.uuid4().hex}.tmp"
+    dealt = df.withColumn("chunk", F.pmod(F.col(key), F.lit(chunks)).cast("int")).where(F.col("chunk").isin(missing))
+    try:
+        dealt.repartition("chunk", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("chunk", *sort_by).write.option("compression", "zstd").partitionBy("chunk").parquet(part)
+        for k in missing:
+            if not _is_there(spark, f"{part}/chunk={k}"):
+                df.limit(0).write.parquet(f"{part}/chunk={k}")
+            fs, mark = _fs(spark, f"{part}/chunk={k}/_SUCCESS")
+            fs.create(mark, True).close()
+            _fs(spark, path)[0].mkdirs(_fs(spark, path)[1])
+            replace(spark, f"{part}/chunk={k}", f"{path}/chunk={k}")
+    finally:
+        remove(spark, part)
+    return missing
 
 
 def write_json_array(df: DataFrame, path: str, limit: int = 100_000) -> int:

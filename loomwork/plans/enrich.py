@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,18 +25,35 @@ def full_text(rows: DataFrame, fields: list[str], translated: DataFrame | None =
     return joined.select("id", F.concat_ws(separator, *parts).alias("full_text")).where("full_text <> ''")
 
 
-def stem_pattern(stems: list[str]) -> str:
-    """Any of the stems at the start of a word, lower case."""
-    return "(^|[^a-z0-9_])(" + "|".join(stems) + ")"
+def pillar_mask(text: Column, pillars: dict[str, list[str]]) -> Column:
+    """Bit i is set if a stem of the i-th pillar begins a word.
 
+    Words are runs of a-z, 0-9 and underline in the lower-case text. One pass
+    puts a space for everything else; stems are then plain searches.
+    """
 
-def pillar_mask(text: Column, pillars: dict[str, list[str]]) -> Column:
-    """Bit i is set if a stem of the i-th pillar begins a word."""
-    lowered = F.lower(text)
-    mask = F.lit(0)
-    for i, stems in enumerate(pillars.values()):
-        mask = mask.bitwiseOR(F.when(lowered.rlike(stem_pattern(stems)), 1 << i).otherwise(0))
-    return F.coalesce(mask, F.lit(0)).cast("short")
+    def mask(spaced: Column) -> Column:
+        bits = F.lit(0)
+        for i, stems in enumerate(pillars.values()):
+            begins = reduce(operator.or_, [F.contains(spaced, F.lit(f" {s}")) for s in stems])
+            bits = bits.bitwiseOR(F.when(begins, 1 << i).otherwise(0))
+        return F.coalesce(bits, F.lit(0)).cast("short")
+
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), "[^a-z0-9_]+", " "))
+    return F.get(F.transform(F.array(spaced), mask), F.lit(0))
+
+
+def pillar_hits(rows: DataFrame, id_col: str, text_col: str, pillars: dict[str, list[str]]) -> DataFrame:
+    """(id, pillars) of the rows with a bit set; the mask is computed once a row, not once more for the filter."""
+    found = F.filter(F.array(pillar_mask(F.col(text_col), pillars)), lambda m: m != 0)
+    return rows.select(F.col(id_col).alias("id"), F.explode(found).alias("pillars"))
+
+
+def pillar_rate(hits: DataFrame, total: int, most: float = 0.3) -> DataFrame:
+    """(bit, n, rate, flagged): how often each bit is set; a rate above ``most`` is flagged as a stem too broad."""
+    bits = hits.select(F.explode(F.filter(F.sequence(F.lit(0), F.lit(15)), lambda i: F.col("pillars").cast("int").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0)).alias("bit"))
+    rate = F.col("n") / F.lit(float(max(total, 1)))
+    return bits.groupBy("bit").agg(F.count("*").alias("n")).select("bit", "n", rate.alias("rate"), (rate > most).alias("flagged"))
 
 
 def mask_names(mask: Column, names: list[str]) -> Column:
@@ -60,58 +79,6 @@ def themes(scores: DataFrame, topics: DataFrame, rules: list[ThemeRule], least:
     return best.join(topics, "topic_id").select("id", case.alias("theme")).where("theme IS NOT NULL")
 
 
-def tokens(rows: DataFrame, text: str, pattern: str = r"\p{L}+", longest: int = 2) -> DataFrame:
-    """(id, token): lower-case tokens of a text and their space-joined runs up to ``longest``, as often as they come."""
-    t = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0))
-    runs = lambda n: F.when(F.size("_t") >= n, F.transform(F.sequence(F.lit(1), F.size("_t") - (n - 1)), lambda i: F.array_join(F.slice("_t", i, n), " "))).otherwise(F.array().cast("array<string>"))
-    return rows.select("id", t.alias("_t")).select("id", F.explode(F.concat(*[runs(n) for n in range(1, longest + 1)])).alias("token"))
-
-
-def ngrams(rows: DataFrame, text: str, longest: int, pattern: str = "[a-z0-9]+") -> DataFrame:
-    """(id, gram): every run of 1 to ``longest`` tokens, space-joined, once a row."""
-    t = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), F.lit(0))
-    staged = rows.select("id", t.alias("_t"))
-    runs = F.flatten(
-        F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.when(F.size("_t") >= n, F.transform(F.sequence(F.lit(1), F.size("_t") - n + 1), lambda i: F.array_join(F.slice("_t", i, n), " "))).otherwise(F.array().cast("array<string>")))
-    )
-    return staged.select("id", F.explode(F.array_distinct(runs)).alias("gram"))
-
-
-def keyword_hits(rows: DataFrame, text: str, keywords: DataFrame, longest: int) -> DataFrame:
-    """(id, keys): sorted keys whose keyword occurs as whole words.
-
-    ``keywords`` is (key, keyword), normalised like the tokens. The join is on
-    the n-gram; the planner broadcasts the keywords where they are small.
-    """
-    hits = ngrams(rows, text, longest).join(keywords.select("key", F.col("keyword").alias("gram")), "gram")
-    return hits.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-
-
-def typo_variants(keywords: DataFrame, least: int = 7) -> DataFrame:
-    """(key, keyword): each keyword, and for long ones what dropping or swapping one inner letter gives."""
-    inner = F.sequence(F.lit(2), F.length("keyword") - 1)
-    dropped = F.transform(inner, lambda i: F.concat(F.substr("keyword", F.lit(1), i - 1), F.substr("keyword", i + 1)))
-    swapped = F.transform(inner, lambda i: F.concat(F.substr("keyword", F.lit(1), i - 1), F.substr("keyword", i + 1, F.lit(1)), F.substr("keyword", i, F.lit(1)), F.substr("keyword", i + 2)))
-    variants = F.when(F.length("keyword") >= least, F.concat(F.array("keyword"), dropped, swapped)).otherwise(F.array("keyword"))
-    return keywords.select("key", F.explode(F.array_distinct(variants)).alias("keyword")).distinct()
-
-
-def tfidf(tokens_: DataFrame, n_docs: int, min_df: int = 2, max_df: float = 0.8, features: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """(weights, vocabulary): L2-normalised tf-idf (id, token, w), and (token, idf).
-
-    idf = ln((1 + n) / (1 + df)) + 1. The vocabulary is the ``features`` most
-    frequent tokens within the document-frequency bounds, ties by token.
-    """
-    tf = tokens_.groupBy("id", "token").agg(F.count("*").alias("tf"))
-    stats = tf.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
-    vocabulary = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs))).orderBy(F.desc("total"), "token").limit(features)
-    vocabulary = vocabulary.select("token", (F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
-    # at most ``features`` rows, computed once; only known tokens are counted again
-    vocabulary = tokens_.sparkSession.createDataFrame(vocabulary.collect(), vocabulary.schema)
-    known = tokens_.join(F.broadcast(vocabulary.select("token")), "token", "left_semi")
-    return weigh(known.groupBy("id", "token").agg(F.count("*").alias("tf")), vocabulary), vocabulary
-
-
 def weigh(tf: DataFrame, vocabulary: DataFrame) -> DataFrame:
     raw = tf.join(vocabulary, "token").select("id", "token", (F.col("tf") * F.col("idf")).alias("x"))
     norms = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))

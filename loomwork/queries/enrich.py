@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.core.keys import first_by, merged_list
-from loomwork.plans import enrich
+from loomwork.functions.text import match_key
+from loomwork.plans import enrich, keywords, topics
 from loomwork.plans.normalise import entity_id, normalise
 from loomwork.queries.registry import query, table
 
@@ -15,7 +16,10 @@ PILLARS = {"heritage": ["thre", "ing"], "language": ["the", "der"], "place": ["c
 
 
 def _mask_sql() -> str:
-    parts = [f"(CASE WHEN regexp_matches(lower(text), '{enrich.stem_pattern(s)}') THEN {1 << i} ELSE 0 END)" for i, s in enumerate(PILLARS.values())]
+    """Words by what parts them, each compared with the stems."""
+    words = "regexp_split_to_array(lower(text), '[^a-z0-9_]')"
+    any_ = lambda stems: " OR ".join(f"starts_with(w, '{s}')" for s in stems)
+    parts = [f"(CASE WHEN len(list_filter({words}, lambda w: {any_(s)})) > 0 THEN {1 << i} ELSE 0 END)" for i, s in enumerate(PILLARS.values())]
     return " | ".join(parts)
 
 
@@ -33,8 +37,14 @@ def doc_full_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id AS id, ({_mask_sql()})::SMALLINT AS pillars FROM documents WHERE ({_mask_sql()}) <> 0")
 def pillar_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse bit masks of the pillars whose stems occur."""
+    return enrich.pillar_hits(table(spark, sf_dir, "documents"), "doc_id", "text", PILLARS)
+
+
+@query(f"SELECT b AS bit, n, round(n / (SELECT count(*) FROM documents), 6) AS rate, n > 0.3 * (SELECT count(*) FROM documents) AS flagged FROM (SELECT b, count(*) AS n FROM (SELECT unnest(range(16)) AS b, m FROM (SELECT ({_mask_sql()}) AS m FROM documents)) WHERE (m & (1::INTEGER << b::INTEGER)) <> 0 GROUP BY 1)")
+def pillar_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each pillar occurs, with a flag on those above 30 %."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").alias("id"), enrich.pillar_mask(F.col("text"), PILLARS).alias("pillars")).where("pillars <> 0")
+    return enrich.pillar_rate(enrich.pillar_hits(docs, "doc_id", "text", PILLARS), docs.count()).withColumn("rate", F.round("rate", 6))
 
 
 @query(
@@ -66,39 +76,47 @@ def theme_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.themes(scores, topics, rules, 0.8)
 
 
-_KEYWORD = "(SELECT item_id AS key, array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+')[1:2], ' ') AS keyword FROM benchmark)"
+#: Words in the spelling that names are compared in, and in their case; a name is a word of five letters or more that one item alone has.
+_PLAIN = "list_filter(regexp_split_to_array(replace(strip_accents({}), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+_NAMES = f"names AS (SELECT name, any_value(item_id) AS key FROM (SELECT DISTINCT item_id, unnest({_PLAIN.format('lower(text)')}) AS name FROM benchmark) WHERE length(name) >= 5 GROUP BY 1 HAVING count(*) = 1)"
+#: Names that count only capitalised.
+_CAPITALISED = ["mention", "condition", "nation"]
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.explode(F.array_distinct(F.regexp_extract_all(match_key(F.col("text")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("keyword")
+    found = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("key"), words).distinct().where("length(keyword) >= 5")
+    return found.groupBy("keyword").agg(F.min("key").alias("key"), F.count("*").alias("n")).where("n = 1").select("key", "keyword")
 
 
 @query(
-    f"""SELECT d.doc_id AS id, list_sort(list(DISTINCT key)) AS keys FROM (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') || ' ' AS t FROM documents) d
-    JOIN {_KEYWORD} k ON contains(d.t, ' ' || k.keyword || ' ') WHERE keyword <> '' GROUP BY 1"""
+    f"""WITH {_NAMES}, d AS (SELECT DISTINCT doc_id, unnest({_PLAIN.format('text')}) AS w FROM documents)
+    SELECT doc_id AS id, list_sort(list(DISTINCT key)) AS keys FROM d JOIN names ON lower(w) = name WHERE name NOT IN ({', '.join(map(repr, _CAPITALISED))}) OR w = upper(left(name, 1)) || substr(name, 2) GROUP BY 1"""
 )
 def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keywords, the first two words of each benchmark item, found as whole words."""
-    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)), 1, 2)
-    keywords = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("key"), F.array_join(words, " ").alias("keyword")).where("keyword <> ''")
-    return enrich.keyword_hits(table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id"), "text", keywords, 2)
+    """Distinguishing words of the benchmark items found as whole words, some only capitalised."""
+    rules = keywords.Rules(capitalised=frozenset(_CAPITALISED))
+    return keywords.keyword_hits(table(spark, sf_dir, "documents"), "doc_id", "text", _names(spark, sf_dir), rules, typos=False)
 
 
 @query(
-    """WITH tok AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents), tf AS (SELECT id, token, count(*) AS tf FROM tok GROUP BY 1, 2),
-    voc AS (SELECT token, ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (SELECT token, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1)
-      WHERE df >= 2 AND df <= 0.8 * (SELECT count(*) FROM documents) ORDER BY total DESC, token LIMIT 2000),
-    raw AS (SELECT id, token, tf * idf AS x FROM tf JOIN voc USING (token)), w AS (SELECT id, token, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM raw),
-    ttf AS (SELECT item_id AS id, token, count(*) AS tf FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM benchmark) GROUP BY 1, 2),
-    traw AS (SELECT id, token, tf * idf AS x FROM ttf JOIN voc USING (token)), tw AS (SELECT id AS topic_id, token, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS tw FROM traw),
-    dots AS (SELECT id, topic_id, round(sum(w * tw), 9) AS score FROM w JOIN tw USING (token) GROUP BY 1, 2)
-    SELECT id, topic_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, topic_id) AS k FROM dots) WHERE k = 1"""
+    f"""WITH {_NAMES}, d AS (SELECT DISTINCT doc_id, unnest({_PLAIN.format('lower(text)')}) AS w FROM documents), voc AS (SELECT DISTINCT w FROM d),
+    near AS (SELECT w, key FROM voc JOIN names ON left(w, 1) = left(name, 1) AND abs(length(w) - length(name)) <= 1 AND length(name) >= 8 AND damerau_levenshtein(w, name) = 1 WHERE w NOT IN (SELECT name FROM names)
+      AND NOT regexp_matches(w, '[^a-z]')),
+    one AS (SELECT w, min(key) AS key FROM near GROUP BY 1 HAVING count(DISTINCT key) = 1), hit AS (SELECT name AS w, key FROM names UNION ALL SELECT w, key FROM one)
+    SELECT doc_id AS id, list_sort(list(DISTINCT key)) AS keys FROM d JOIN hit USING (w) GROUP BY 1"""
 )
-def topic_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best topic of each document by tf-idf cosine; topics are benchmark items."""
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    weights, vocabulary = enrich.tfidf(enrich.tokens(docs, "text", "[a-z]+", 1), docs.count(), features=2000)
-    topics = enrich.tokens(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"), "text", "[a-z]+", 1).groupBy("id", "token").agg(F.count("*").alias("tf"))
-    return enrich.best_topic(weights, enrich.weigh(topics, vocabulary)).select("id", "topic_id", F.round("score", 6).alias("score"))
+def keyword_typos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one typing error allowed in names of eight letters or more."""
+    plain = _names(spark, sf_dir)
+    return keywords.keyword_hits(table(spark, sf_dir, "documents"), "doc_id", "text", plain)
 
 
-_GRAMS = "(SELECT {id}, unnest(list_concat(t, [t[i] || ' ' || t[i + 1] for i in range(1, len(t))])) AS token FROM (SELECT {id}, regexp_extract_all(lower(text), '\\p{{L}}+') AS t FROM {table}))"
+_STOP = "[" + ", ".join(f"'{w}'" for w in sorted(topics.STOP_WORDS)) + "]"
+_GRAMS = (
+    "(SELECT {id}, unnest(list_concat(t, [t[i] || ' ' || t[i + 1] for i in range(1, len(t))])) AS token FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), "
+    "lambda w: length(w) > 2 AND NOT list_contains(" + _STOP + ", w)) AS t FROM {table}))"
+)
 
 
 @query(
@@ -109,16 +127,13 @@ _GRAMS = "(SELECT {id}, unnest(list_concat(t, [t[i] || ' ' || t[i + 1] for i in
     ttf AS (SELECT item_id AS id, token, count(*) AS tf FROM {_GRAMS.format(id='item_id', table='benchmark')} GROUP BY 1, 2),
     traw AS (SELECT id, token, tf * idf AS x FROM ttf JOIN voc USING (token)), tw AS (SELECT id AS topic_id, token, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS tw FROM traw),
     dots AS (SELECT id, topic_id, round(sum(w * tw), 9) AS score FROM w JOIN tw USING (token) GROUP BY 1, 2),
-    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, topic_id) AS k FROM dots) WHERE k = 1)
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, topic_id) AS k FROM dots) WHERE k = 1 AND score > 0)
     SELECT doc_id AS id, coalesce(topic_id, -1) AS topic_id, round(coalesce(score, 0), 6) AS score FROM documents LEFT JOIN best ON id = doc_id"""
 )
-def topic_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best topic of every document by tf-idf cosine over 10,000 1-2-grams of Unicode letters, -1 without one."""
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    weights, vocabulary = enrich.tfidf(enrich.tokens(docs, "text"), docs.count())
-    topics = enrich.tokens(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id"), "text").groupBy("id", "token").agg(F.count("*").alias("tf"))
-    best = enrich.best_topic(weights, enrich.weigh(topics, vocabulary))
-    return enrich.every_topic(docs, best).select("id", "topic_id", F.round("score", 6).alias("score"))
+def topic_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best topic of every document by tf-idf cosine over 10,000 words and pairs, -1 without one; topics are benchmark items."""
+    found = topics.classify(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select("id", "topic_id", F.round("score", 6).alias("score"))
 
 
 @query(
