@@ -1,4 +1,6 @@
-from loomwork.llm import simhash
+import pytest
+
+from loomwork.llm import near_dup, simhash
 from tests.llm.fixtures import documents, empty, prose
 
 
@@ -39,6 +41,24 @@ def test_pairs_at_similarity_above_0_8_are_linked(spark):
     assert sorted(r["doc_id"] for r in simhash.simhash_dedup(docs).collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("leaders,cell,hashes", [(2, 4096, 4_000_000), (0, 4096, 4_000_000), (0, 3, 4_000_000), (1, 4096, 900)])
+def test_groups_whose_copies_are_not_alike(spark, monkeypatch, leaders, cell, hashes):
+    """Copies near an original but not each other, and texts that share a passage only: every way of comparing finds the same."""
+    monkeypatch.setattr(near_dup, "LEADERS", leaders)
+    monkeypatch.setattr(near_dup, "CELL", cell)
+    monkeypatch.setattr(near_dup, "CELL_HASHES", hashes)
+    texts = []
+    for seed in range(4):
+        base = prose(seed + 10, 200).split()
+        texts.append(" ".join(base))
+        for k in range(9):  # each changes a run of its own
+            texts.append(" ".join(base[: 20 * k] + [f"c{seed}{k}{i}" for i in range(15)] + base[20 * k + 15 :]))
+        texts += [" ".join(base[:150]) + " " + prose(100 * seed + k, 60) for k in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_components(docs).collect()}
+    assert got == dict(enumerate(brute(texts))) and len(set(got.values())) < len(texts) - 30
+
+
 def test_awkward_rows(spark):
     docs = documents(spark)
     kept = simhash.simhash_dedup(docs)
