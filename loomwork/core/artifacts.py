@@ -9,7 +9,9 @@ writer a path at a time is assumed.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 import uuid
 from dataclasses import asdict, dataclass, field
 
@@ -178,12 +180,18 @@ class Stamp:
 
 @dataclass
 class Manifest:
-    """What a side output was computed from; one file beside it for each scope (tier)."""
+    """What a side output was computed from; one file beside it for each scope (tier).
+
+    An export also notes its rows, bytes and seconds, and the digest of its inputs.
+    """
 
     stamp: Stamp
     shards: list[int] = field(default_factory=list)
     of: int = 1
     rows: int | None = None
+    bytes: int | None = None
+    seconds: float | None = None
+    inputs: str | None = None
 
     @staticmethod
     def path(output: str, scope: str = "all") -> str:
@@ -201,6 +209,35 @@ class Manifest:
         return cls(Stamp(**data.pop("stamp")), **data)
 
 
+def input_digest(spark: SparkSession, paths: list[str]) -> str:
+    """sha256 over the names, sizes and times of the files under the paths, in order."""
+    seen = hashlib.sha256()
+    for path in paths:
+        fs, target = _fs(spark, path)
+        walk = fs.listFiles(target, True)
+        found = []
+        while walk.hasNext():
+            f = walk.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        seen.update(json.dumps(sorted(found)).encode())
+    return seen.hexdigest()
+
+
+def export(df: DataFrame, path: str, id_col: str, inputs: list[str], **options) -> Manifest:
+    """Publish with a manifest; refuses to replace an export of other inputs."""
+    spark, began = df.sparkSession, time.time()
+    digest = input_digest(spark, inputs)
+    earlier = Manifest.load(spark, path)
+    if earlier is not None and earlier.inputs not in (None, digest):
+        raise Stale(f"{path} was exported from other inputs")
+    publish(df, path, **options)
+    written = spark.read.parquet(path)
+    fs, target = _fs(spark, path)
+    manifest = Manifest(Stamp.of(written, id_col), [0], 1, written.count(), fs.getContentSummary(target).getLength(), round(time.time() - began, 3), digest)
+    manifest.save(spark, path)
+    return manifest
+
+
 class Stale(RuntimeError):
     """A side output is missing, incomplete or of another input."""
 
@@ -233,7 +270,12 @@ def write_sparse(hits: DataFrame, seen: DataFrame, path: str) -> None:
     """Append a sparse output: the hits first, then the ids looked at, so that a
     crash between the two repeats work but loses none."""
     hits.write.mode("append").parquet(path)
-    seen.write.mode("append").parquet(f"{path}/../{path.rsplit('/', 1)[-1]}-seen")
+    seen.write.mode("append").parquet(seen_path(path))
+
+
+def seen_path(path: str) -> str:
+    """Where write_sparse notes the ids it has looked at."""
+    return f"{path}-seen"
 
 
 def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -17,20 +17,21 @@ def edges(df: DataFrame, source: Column, source_type: str, target: Column, targe
     ).distinct()
 
 
+def edges_from_lists(docs: DataFrame, id_col: str, source_type: str, list_col: str, target_type: str) -> DataFrame:
+    """Distinct edges of documents that hold the ids of their targets in a list."""
+    return edges(docs.select(F.col(id_col).alias("_s"), F.explode(list_col).alias("_t")), F.col("_s"), source_type, F.col("_t"), target_type)
+
+
 def keep_edges(rel: DataFrame, nodes: dict[str, DataFrame]) -> DataFrame:
-    """Edges whose two ends exist: one semi join for each end and type.
+    """Edges whose two ends exist: one pass, a semi join on type and id for each end.
 
-    ``nodes`` maps a type to a frame whose first column is its id. A branch
-    for each pair of types lets each prune on the type columns; an edge with a
-    type that is not listed goes.
+    ``nodes`` maps a type to a frame whose first column is its id; an edge with
+    a type that is not listed goes.
     """
-    out = []
-    for a, left in nodes.items():
-        for b, right in nodes.items():
-            part = rel.where((F.col("source_type") == a) & (F.col("target_type") == b))
-            part = part.join(left.select(F.col(left.columns[0]).alias("source")), "source", "left_semi")
-            out.append(part.join(right.select(F.col(right.columns[0]).alias("target")), "target", "left_semi"))
-    return reduce(DataFrame.unionByName, out).select(*rel.columns)
+    known = reduce(DataFrame.unionByName, [n.select(F.lit(kind).alias("type"), F.col(n.columns[0]).alias("id")) for kind, n in nodes.items()])
+    at = lambda end: known.select(F.col("type").alias(f"{end}_type"), F.col("id").alias(end))
+    kept = rel.join(at("source"), ["source_type", "source"], "left_semi").join(at("target"), ["target_type", "target"], "left_semi")
+    return kept.select(*rel.columns)
 
 
 def cascade_report(rel: DataFrame, kept: DataFrame) -> DataFrame:
@@ -110,16 +111,30 @@ def cutoff(ranked: DataFrame, kept: DataFrame) -> DataFrame:
     return one(day).join(one(there), "_one").join(one(held), "_one").drop("_one")
 
 
-def pairs(members: DataFrame, group: str, member: str, directed: bool = False) -> DataFrame:
-    """(a, b, shared): pairs of members with the number of groups they share.
+#: Members of a group whose pairs one task makes.
+PAIR_BLOCK = 2048
+
+
+def pairs(members: DataFrame, groups: str | list[str], member: str, directed: bool = False, by: list[str] | None = None) -> DataFrame:
+    """(by..., a, b, shared): pairs of members with the number of groups they share.
 
-    Self equi join on the group with an inequality; ``directed`` gives both
-    orders. Counted before anything else is joined.
+    The pairs are the result, so their number cannot shrink, but no task makes
+    those of a whole large group: its members are dealt into blocks, each pair
+    of blocks is a join key of its own, and counts are summed within tasks
+    before they move. ``directed`` gives both orders; ``by`` are columns of the
+    group to count by.
     """
-    distinct = members.select(group, member).distinct()
-    left, right = distinct.select(group, F.col(member).alias("a")), distinct.select(group, F.col(member).alias("b"))
+    groups, by = [groups] if isinstance(groups, str) else groups, by or []
+    distinct = members.select(*groups, member).distinct()
+    large = distinct.groupBy(*groups).agg(F.count("*").alias("_n")).where(F.col("_n") > PAIR_BLOCK)
+    blocks = large.select(*groups, F.ceil(F.col("_n") / PAIR_BLOCK).alias("_k"))
+    dealt = distinct.join(blocks, groups, "left").withColumn("_k", F.coalesce("_k", F.lit(1).cast("long"))).withColumn("_b", F.pmod(F.xxhash64(member), F.col("_k")))
+    others = F.explode(F.expr("sequence(0L, _k - 1)"))
+    key = [*groups, "_x", "_y"]
+    left = dealt.withColumn("_y", others).select(*groups, F.col("_b").alias("_x"), "_y", F.col(member).alias("a"))
+    right = dealt.withColumn("_x", others).select(*groups, "_x", F.col("_b").alias("_y"), F.col(member).alias("b"))
     apart = F.col("a") != F.col("b") if directed else F.col("a") < F.col("b")
-    return left.join(right, group).where(apart).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    return left.join(right, key).where(apart).groupBy(*by, "a", "b").agg(F.count("*").alias("shared"))
 
 
 def partners(members: DataFrame, group: str, member: str, center: int) -> DataFrame:

@@ -1,4 +1,4 @@
 """All registered queries of the library."""
 
-from loomwork.queries import cleaning, enrich, graph, incremental, matching, relational, search, serve  # noqa: F401
+from loomwork.queries import cleaning, enrich, extended, graph, incremental, matching, relational, search, serve, storage  # noqa: F401
 from loomwork.queries.registry import ORACLES, QUERIES  # noqa: F401

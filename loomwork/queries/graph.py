@@ -195,9 +195,7 @@ def collaboration_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of organisations that share projects, by topic of the works."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.split_part("p_type", F.lit(" "), F.lit(1)).alias("topic"))
     lines = table(spark, sf_dir, "lineitem").join(parts, F.col("p_partkey") == F.col("l_partkey"))
-    members = lines.select(F.struct("l_orderkey", "topic").alias("g"), "l_suppkey").distinct()
-    left, right = members.select("g", F.col("l_suppkey").alias("a")), members.select("g", F.col("l_suppkey").alias("b"))
-    return left.join(right, "g").where("a < b").groupBy(F.col("g.topic").alias("topic"), "a", "b").agg(F.count("*").alias("shared"))
+    return graph.pairs(lines, ["l_orderkey", "topic"], "l_suppkey", by=["topic"])
 
 
 @query(

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import STROKED, fold_ascii
@@ -320,6 +320,36 @@ def autocomplete_all(kinds: dict[str, DataFrame], prefix: str, size: int = 8) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def typed_words_found(rows: DataFrame, id_col: str, name_col: str, rank: Column, asked: Column, words: list[int], size: int = 8) -> DataFrame:
+    """(words, asked, found): of the names ``asked`` for by their first words, the last as a prefix, those among the first ``size``.
+
+    Names that can answer share the first typed word, or its first two letters where it is the only one.
+    """
+    w = analysed(F.col(name_col))
+    names = rows.select(F.col(id_col).alias("id"), rank.alias("rank"), w.alias("w"))
+    typed = rows.where(asked).select(F.col(id_col).alias("q_id"), w.alias("q"))
+    out = []
+    for k in words:
+        queries = typed.where(F.size("q") >= k).select("q_id", F.slice("q", 1, k - 1).alias("whole"), F.element_at("q", k).alias("last"))
+        key = F.element_at("whole", 1) if k > 1 else F.substring("last", 1, 2)
+        keys = F.explode(F.array_distinct(F.col("w") if k > 1 else F.transform("w", lambda x: F.substring(x, 1, 2))))
+        found = queries.withColumn("key", key).join(names.withColumn("key", keys), "key")
+        held = F.forall("whole", lambda x: F.array_contains("w", x)) & F.exists("w", lambda x: x.startswith(F.col("last")))
+        place = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc_nulls_last("rank"), "id"))
+        best = found.where(held).withColumn("place", place).where((F.col("place") <= size) & (F.col("id") == F.col("q_id")))
+        out.append(queries.agg(F.count("*").alias("asked")).join(best.agg(F.count("*").alias("found"))).select(F.lit(k).alias("words"), "asked", "found"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def tags_of_hits(hits: DataFrame, tags: DataFrame, size: int) -> DataFrame:
+    """(key, n, first_id): the most frequent tags of the hits, and the smallest hit of each.
+
+    ``hits`` is (id), ``tags`` distinct (id, key).
+    """
+    counted = tags.join(hits, "id", "left_semi").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    return counted.orderBy(F.desc("n"), "key").limit(size)
+
+
 def edits_allowed(word: str) -> int:
     return 0 if len(word) <= 2 else 1 if len(word) <= 5 else 2
 

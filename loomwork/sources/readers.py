@@ -2,7 +2,7 @@
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,23 @@ def register_tables(spark: SparkSession, folder: str, prefix: str = "") -> list[
     return names
 
 
+def register_frame(df: DataFrame, name: str) -> DataFrame:
+    """A frame under a name that SQL can use."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
+def read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Newline-delimited JSON that a writer may have left with a torn last record: records that do not parse go."""
+    torn = spark.read.schema(f"{schema}, _torn string").option("columnNameOfCorruptRecord", "_torn").json(path)
+    return torn.where("_torn IS NULL").drop("_torn")
+
+
+def at_path(text: str, path: str) -> Column:
+    """The value at a known path of a JSON text, as JSON text without quotes; null where there is none."""
+    return F.try_variant_get(F.try_parse_json(F.col(text)), path, "string")
+
+
 def table_columns(spark: SparkSession, table: str) -> DataFrame:
     """(position, column, type) of a table or view."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(spark.table(table).schema)]
