@@ -74,6 +74,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file, by a temporary name and a replacement."""
     part = f"{path}.{uuid.uuid4().hex}.tmp"
@@ -136,7 +141,7 @@ def export_chunks(df: DataFrame, path: str, key: str, chunks: int, sort_by: list
                 df.limit(0).write.parquet(f"{part}/chunk={k}")
             fs, mark = _fs(spark, f"{part}/chunk={k}/_SUCCESS")
             fs.create(mark, True).close()
-            _fs(spark, path)[0].mkdirs(_fs(spark, path)[1])
+            make_folder(spark, path)
             replace(spark, f"{part}/chunk={k}", f"{path}/chunk={k}")
     finally:
         remove(spark, part)

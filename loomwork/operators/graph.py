@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 EDGE = ["source", "source_type", "target", "target_type"]
 
 
-def edges(df: DataFrame, source: Column, source_type: str, target: Column, target_type: str) -> DataFrame:
-    """Distinct edges of one kind."""
+#: Type of ids that may be unsigned 64-bit numbers.
+UNSIGNED = "decimal(20,0)"
+
+
+def edges(df: DataFrame, source: Column, source_type: str, target: Column, target_type: str, id_type: str = "long") -> DataFrame:
+    """Distinct edges of one kind; ``id_type`` is UNSIGNED where ids go beyond a long."""
     return df.select(
-        source.cast("long").alias("source"), F.lit(source_type).alias("source_type"), target.cast("long").alias("target"), F.lit(target_type).alias("target_type")
+        source.cast(id_type).alias("source"), F.lit(source_type).alias("source_type"), target.cast(id_type).alias("target"), F.lit(target_type).alias("target_type")
     ).distinct()
 
 

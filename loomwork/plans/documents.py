@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.core.keys import top_by
+
 
 def participation(rel: DataFrame, orgs: DataFrame) -> DataFrame:
     """One row a (pid, oid), with the organisation's columns; unknown regions are 'Unknown'."""
@@ -72,8 +74,9 @@ def counted_by_clean(rows: DataFrame, raw: str, clean) -> DataFrame:
 
 def text_blob(rows: DataFrame, key: str, text: str, order: list[str], most: int, longest: int) -> DataFrame:
     """(key, blob): the first ``most`` texts of a key by order, joined and cut to ``longest`` characters."""
+    best = top_by(rows, [key], [F.col(o) for o in order], most)  # so many rows a key move, however many it has
     packed = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("_t"))))
-    return rows.groupBy(key).agg(F.substring(F.array_join(F.transform(F.slice(packed, 1, most), lambda x: x["_t"]), " "), 1, longest).alias("blob"))
+    return best.groupBy(key).agg(F.substring(F.array_join(F.transform(packed, lambda x: x["_t"]), " "), 1, longest).alias("blob"))
 
 
 def key_counts(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -163,6 +163,44 @@ def classify(docs: DataFrame, id_col: str, text_col: str, topics: DataFrame, top
     return rows.mapInArrow(run, f"id {kind.simpleString()}, topic_id long, score double")
 
 
+#: Numbers of the centroids that one pass sends to the tasks.
+CENTROID_NUMBERS = 4_000_000
+
+
+def nearest_centroid(vectors: DataFrame, id_col: str, vector_col: str, centroids: DataFrame) -> DataFrame:
+    """(id, label): the centroid of the highest cosine, to nine places, ties to the smallest label.
+
+    ``centroids`` is (label long, c array<double>). They go to the tasks in passes
+    of CENTROID_NUMBERS numbers; each pass scores every vector where it lies,
+    and the best of the passes is taken, so any number of labels is answered.
+    """
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("e"))
+    kind = rows.schema["id"].dataType.simpleString()
+    numbers = centroids.agg(F.sum(F.size("c"))).first()[0] or 0
+    passes = max(1, math.ceil(numbers / CENTROID_NUMBERS))
+    out = None
+    for k in range(passes):
+        part = centroids.where(F.pmod(F.xxhash64("label"), F.lit(passes)) == k).orderBy("label").collect()  # about CENTROID_NUMBERS numbers
+        if not part:
+            continue
+        labels, matrix = np.array([r["label"] for r in part], dtype=np.int64), np.array([r["c"] for r in part])
+        shared = vectors.sparkSession.sparkContext.broadcast((labels, matrix / np.linalg.norm(matrix, axis=1, keepdims=True)))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            names, units = shared.value
+            for batch in batches:
+                e = np.array(batch.column(1).to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1)
+                cosine = np.round(e @ units.T / np.linalg.norm(e, axis=1, keepdims=True), 9) if batch.num_rows else np.zeros((0, len(names)))
+                best = cosine.argmax(axis=1) if batch.num_rows else np.zeros(0, dtype=int)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best]), pa.array(cosine[np.arange(len(best)), best])], ["id", "label", "cosine"])
+
+        scored = rows.mapInArrow(run, f"id {kind}, label long, cosine double")
+        out = scored if out is None else out.unionByName(scored)
+    if out is None or passes == 1:
+        return (out if out is not None else rows.select("id", F.lit(None).cast("long").alias("label"))).select("id", "label")
+    return out.groupBy("id").agg(F.max_by("label", F.struct("cosine", -F.col("label"))).alias("label"))
+
+
 def _joined(rows: DataFrame, named: DataFrame, idf: dict[str, float]) -> DataFrame:
     """The same by joins on the term, for a taxonomy beyond a task's memory."""
     known = rows.sparkSession.createDataFrame(list(idf.items()), "token string, idf double")

@@ -96,13 +96,16 @@ ORACLES["clean_text"] = f"SELECT doc_id, {_ONE_SPACE.format(_EXPECTED)} AS clean
 
 
 @query(
-    """SELECT sum(n_refs)::BIGINT AS refs_before, sum(n_tags)::BIGINT AS tags_before FROM (SELECT len(regexp_extract_all(html, '&[a-zA-Z#][a-zA-Z0-9]*;')) AS n_refs,
-      len(regexp_extract_all(html, '</?[a-zA-Z][^<>]*>')) AS n_tags FROM pages)"""
+    """SELECT sum(len(regexp_extract_all(html, '&[a-zA-Z#][a-zA-Z0-9]*;')))::BIGINT AS refs_before, sum(len(regexp_extract_all(html, '</?[a-zA-Z][^<>]*>')))::BIGINT AS tags_before,
+      0::BIGINT AS refs_after, sum(len(regexp_extract_all(html, '</?(?:html|head|meta|style|script|article|nav|footer)(?:[ >][^<>]*)?>|</?(?:html|head|meta|style|script|article|nav|footer)>')))::BIGINT AS tags_after FROM pages"""
 )
 def clean_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Residual patterns before cleaning."""
-    count = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0)))
-    return table(spark, sf_dir, "pages").agg(F.sum(count("&[a-zA-Z#][a-zA-Z0-9]*;")).alias("refs_before"), F.sum(count("</?[a-zA-Z][^<>]*>")).alias("tags_before"))
+    """Residual patterns before and after cleaning: references go, tags outside the lists stay."""
+    count = lambda c, p: F.size(F.regexp_extract_all(c, F.lit(p), F.lit(0)))
+    refs, tags = "&[a-zA-Z#][a-zA-Z0-9]*;", "</?[a-zA-Z][^<>]*>"
+    both = table(spark, sf_dir, "pages").select("html", markup.clean_markup(F.col("html")).alias("cleaned"))
+    sums = [F.sum(count(c, p)).alias(f"{name}_{when}") for c, when in (("html", "before"), ("cleaned", "after")) for p, name in ((refs, "refs"), (tags, "tags"))]
+    return both.agg(*sums)
 
 
 _PLAIN, _MARKED = text.accent_pairs()

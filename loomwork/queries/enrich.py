@@ -211,18 +211,11 @@ def group_table(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) a, (SELECT label, list(m ORDER BY i) AS e FROM (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY 1) b) WHERE k = 1"""
 )
 def nearest_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic whose centroid has the highest cosine with each vector.
-
-    The centroids, one a label, are few by construction and are spread as one
-    array, so that no pair of rows is ever joined.
-    """
+    """Topic whose centroid has the highest cosine with each vector."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
     points = v.select("label", F.posexplode("e").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
-    cents = points.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c")).collect()
-    literal = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.array(*[F.lit(x) for x in r["c"]]).alias("c")) for r in cents])
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = F.transform(literal, lambda t: F.struct(-F.round(dot(F.col("e"), t["c"]) / F.sqrt(dot(F.col("e"), F.col("e"))) / F.sqrt(dot(t["c"], t["c"])), 9), t["label"].alias("label")))
-    return v.select(F.col("vec_id").alias("id"), F.array_min(scored)["label"].alias("label"))
+    centroids = points.groupBy(F.col("label").cast("long").alias("label")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c"))
+    return topics.nearest_centroid(v, "vec_id", "e", centroids).select("id", F.col("label").cast("int").alias("label"))
 
 
 @query("SELECT lang, source, text AS sample, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS k FROM documents) WHERE k = 1")

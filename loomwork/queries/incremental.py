@@ -20,7 +20,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = incremental.stream_files(spark, f"{root}/landing", events.schema, "parquet", files_per_batch=2)
     incremental.upsert_stream(stream, f"{root}/target", ["user_id"], f"{root}/checkpoint", "event_id")
     remove(spark, f"{root}/landing")
-    return spark.read.parquet(f"{root}/target").select("user_id", "event_id", "event_type")
+    return incremental.read_target(spark, f"{root}/target").select("user_id", "event_id", "event_type")
 
 
 @query("SELECT event_type, count(*) AS n FROM events WHERE NOT (value > 50) GROUP BY 1")

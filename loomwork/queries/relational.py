@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,7 +108,7 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["table_profile"] = " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count(*) AS n, count({f"nullif({c}, '')" if c in ("text", "lang", "source") else c}) AS n_present FROM documents""" for c in _DOC_COLUMNS
+    f"""SELECT '{c}' AS "column", count(*) AS n, count({f"nullif({c}, '')" if c in ("text", "lang", "source") else c}) AS n_present, round(100.0 * count({f"nullif({c}, '')" if c in ("text", "lang", "source") else c}) / count(*), 2) AS percent FROM documents""" for c in _DOC_COLUMNS
 )
 
 
@@ -142,9 +144,28 @@ def connected_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached.select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", F.col("s").alias("l_suppkey"))
 
 
+@query(
+    f"""WITH s AS (SELECT o_orderkey FROM orders ORDER BY {_MIX.format(id='o_orderkey', seed=5)}, o_orderkey LIMIT 20), l AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM s)),
+    u AS (SELECT DISTINCT l_suppkey AS id FROM l), n AS (SELECT DISTINCT s_nationkey AS id FROM supplier WHERE s_suppkey IN (SELECT id FROM u)), c AS (SELECT c_custkey AS id FROM customer WHERE c_nationkey IN (SELECT id FROM n))
+    SELECT 'order' AS kind, (SELECT count(*) FROM s) AS n UNION ALL SELECT 'supplier', (SELECT count(*) FROM u) UNION ALL SELECT 'nation', (SELECT count(*) FROM n) UNION ALL SELECT 'customer', (SELECT count(*) FROM c)
+    UNION ALL SELECT 'lines', (SELECT count(*) FROM l)"""
+)
+def closed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of orders with all that their links lead to, and the links with both ends in it."""
+    lines, supplier, customer = (table(spark, sf_dir, t) for t in ("lineitem", "supplier", "customer"))
+    links = [
+        (customer.select(F.col("c_nationkey").alias("f"), F.col("c_custkey").alias("t")), "f", "nation", "t", "customer"),
+        (lines.select(F.col("l_orderkey").alias("f"), F.col("l_suppkey").alias("t")), "f", "order", "t", "supplier"),
+        (supplier.select(F.col("s_suppkey").alias("f"), F.col("s_nationkey").alias("t")), "f", "supplier", "t", "nation"),
+    ]
+    nodes, kept = prof.closed_sample(table(spark, sf_dir, "orders"), "o_orderkey", "order", links, 20, 5)
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, df in {**nodes, "lines": kept[1]}.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     """WITH g AS (SELECT (CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END)::INTEGER AS t, o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (ORDER BY t, d DESC NULLS LAST) AS upto FROM g)
-    SELECT cap::INTEGER AS cap, t AS cutoff_tier, d::VARCHAR AS cutoff_date, (upto - n)::BIGINT AS kept_before FROM r, (VALUES (1000), (5000), (12000)) c(cap) WHERE upto - n < cap AND upto >= cap"""
+    SELECT cap::INTEGER AS cap, t AS cutoff_tier, d::VARCHAR AS cutoff_date, (upto - n)::BIGINT AS kept_before, (cap - upto + n)::BIGINT AS kept_on_cutoff, round((cap - upto + n) / n, 6) AS share FROM r, (VALUES (1000), (5000), (12000)) c(cap) WHERE upto - n < cap AND upto >= cap"""
 )
 def cap_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where caps of three sizes would cut, from counts by tier and date."""

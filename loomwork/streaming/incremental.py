@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.core.artifacts import exists, publish, remove
+from loomwork.core.artifacts import exists, make_folder, remove, replace
 
 #: Files a little older than the watermark are read again; loading must be idempotent.
 OVERLAP = timedelta(seconds=5)
@@ -54,23 +54,43 @@ def stream_files(spark: SparkSession, folder: str, schema: T.StructType | str, k
     return reader.load(folder)
 
 
-def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: str) -> None:
+#: Folders of an upsert's target, by hash of the key.
+TARGET_PARTS = 64
+
+
+def upsert_stream(stream: DataFrame, target: str, keys: list[str], checkpoint: str, order: str, parts: int = TARGET_PARTS) -> None:
     """Merge all that has landed into a Parquet dataset by key, then stop.
 
     The latest row by ``order`` wins, also over what an earlier batch brought,
-    since files come in no order. A batch that runs twice, after a crash
-    between the merge and the stream's own commit, gives the same dataset.
+    since files come in no order. The target lies in ``parts`` folders by hash
+    of the key, and a batch reads and replaces only those that its keys fall
+    in. A batch that runs twice, after a crash between the merge and the
+    stream's own commit, gives the same dataset; read_target reads it.
     """
     spark = stream.sparkSession
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = spark.read.parquet(target).unionByName(batch) if exists(spark, target) else batch
+    def merge(batch: DataFrame, number: int) -> None:
+        touched = sorted(r[0] for r in batch.select(part.alias("p")).distinct().collect())  # as many as there are folders
+        held = [f"{target}/part={p}" for p in touched if exists(spark, f"{target}/part={p}")]
+        rows = spark.read.parquet(*held).unionByName(batch) if held else batch
         latest = F.max_by(F.struct(*rows.columns), F.struct(order, F.xxhash64(*rows.columns)))
-        publish(rows.groupBy(*keys).agg(latest.alias("_row")).select("_row.*"), target)
+        staged = f"{target}.batch"
+        remove(spark, staged)
+        rows.groupBy(*keys).agg(latest.alias("_row")).select("_row.*").withColumn("part", part).write.partitionBy("part").parquet(staged)
+        make_folder(spark, target)
+        for p in touched:
+            replace(spark, f"{staged}/part={p}", f"{target}/part={p}")
+        remove(spark, staged)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """What upsert_stream has merged."""
+    return spark.read.parquet(target).drop("part")
+
+
 def window_counts(stream: DataFrame, time: str, size: str, keys: list[str], late: str) -> DataFrame:
     """Extra: rows by event-time window; what comes later than ``late`` is dropped."""
     return stream.withWatermark(time, late).groupBy(F.window(time, size).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *keys, "n")
