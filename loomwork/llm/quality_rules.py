@@ -9,6 +9,9 @@ fit. DataFrame functions only.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +22,10 @@ SMOOTHING = 1.0
 #: The threshold lies below the lowest hundredth of the ratios of trusted
 #: documents outside the fit: by their distance to the median, and by this.
 MARGIN = 0.04
-#: Trusted documents that fit the multinomial and the threshold, at most: those
-#: of the smallest id hashes. The raw multinomial is of all documents.
-TRUSTED_SAMPLE = 20_000
+#: Trusted ids that are broadcast, at most; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+#: Steps of a unit, and of such a step, by which ratios are counted for the threshold.
+GRID = 1000
 #: One of so many trusted documents sets the threshold, the others the multinomial.
 CALIBRATE_EVERY = 5
 MIN_WORDS = 50
@@ -109,11 +113,47 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     return measured.withColumn("base_failed", failed)
 
 
-def chosen_ids(trusted: DataFrame, sample: int = TRUSTED_SAMPLE) -> DataFrame:
-    """(id, fits): at most ``sample`` distinct ids of the first column, and their part."""
+def chosen_ids(trusted: DataFrame) -> DataFrame:
+    """(id, fits): the distinct ids of the first column, and their part."""
     ids = trusted.select(F.col(trusted.columns[0]).cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
     spread = F.xxhash64(F.lit(SEED), "_id")
-    return materialize(ids.orderBy(spread, "_id").limit(sample).select("_id", (F.pmod(spread, F.lit(CALIBRATE_EVERY)) != 0).alias("_fits")))
+    return materialize(ids.select("_id", (F.pmod(spread, F.lit(CALIBRATE_EVERY)) != 0).alias("_fits")))
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """``ids``, marked for a broadcast if they are few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def quantiles(ratios: DataFrame, shares: list[float]) -> list[float] | None:
+    """Interpolated quantiles of the column ``ratio``, to a millionth; None without a value.
+
+    Counts on a grid of thousandths tell in which cells the wanted ranks lie,
+    counts of millionths within those cells give the values: some ten thousand
+    rows however many ratios there are, and reruns agree.
+    """
+    fine = F.round(F.col("ratio") * (GRID * GRID)).cast("long")
+    placed = ratios.where("ratio IS NOT NULL").select(fine.alias("fine")).withColumn("cell", F.floor(F.col("fine") / GRID))
+    cells = sorted((r["cell"], r["n"]) for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect())
+    total = sum(n for _, n in cells)
+    if not total:
+        return None
+    ranks = [share * (total - 1) for share in shares]
+    wanted = sorted({r for rank in ranks for r in (math.floor(rank), math.ceil(rank))})
+    begins = dict(zip((c for c, _ in cells), itertools.accumulate((n for _, n in cells), initial=0)))
+    inside = {rank: max((c for c in begins if begins[c] <= rank), key=begins.get) for rank in wanted}
+    steps = sorted((r["fine"], r["cell"], r["n"]) for r in placed.where(F.col("cell").isin(sorted(set(inside.values())))).groupBy("fine", "cell").agg(F.count("*").alias("n")).collect())
+
+    def value(rank: int) -> float:
+        seen = begins[inside[rank]]
+        for step, cell, n in steps:
+            if cell == inside[rank]:
+                seen += n
+                if seen > rank:
+                    return step / (GRID * GRID)
+        raise AssertionError("a rank lies within its cell")
+
+    return [value(math.floor(r)) + (r - math.floor(r)) * (value(math.ceil(r)) - value(math.floor(r))) for r in ranks]
 
 
 def bucket_weights(rows: DataFrame, chosen: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -121,9 +161,9 @@ def bucket_weights(rows: DataFrame, chosen: DataFrame, buckets: int = BUCKETS) -
 
     ``rows`` is (_doc, _text); every bucket has a row in the result.
     """
-    found = rows.select("_doc", F.explode(feature_buckets(words_of(F.col("_text")), buckets)).alias("bucket"))
-    fit = chosen.where("_fits").select("_id")
-    flagged = found.join(F.broadcast(fit), F.col("_doc") == F.col("_id"), "left")  # at most the sample's ids
+    fit = small(chosen.where("_fits").select("_id"))
+    marked = rows.join(fit, F.col("_doc") == F.col("_id"), "left")
+    flagged = marked.select("_id", F.explode(feature_buckets(words_of(F.col("_text")), buckets)).alias("bucket"))
     known = materialize(flagged.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_id").alias("good")))
     totals = known.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
     every = rows.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
@@ -133,16 +173,16 @@ def bucket_weights(rows: DataFrame, chosen: DataFrame, buckets: int = BUCKETS) -
     return materialize(filled.select("bucket", weight.cast("float").alias("weight")))
 
 
-def fit_rules(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, sample: int = TRUSTED_SAMPLE) -> tuple[DataFrame, float]:
-    """(weights, threshold); without trusted documents outside the fit the threshold keeps all."""
+def fit_rules(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, float]:
+    """(weights, threshold) over all documents and all trusted ones; without trusted documents outside the fit the threshold keeps all."""
     rows = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    chosen = chosen_ids(trusted, sample)
+    chosen = chosen_ids(trusted)
     weights = bucket_weights(rows, chosen)
-    others = chosen.where("NOT _fits").select("_id")
-    apart = rows.join(F.broadcast(others), F.col("_doc") == F.col("_id")).select("_text")  # at most the sample's ids
-    ratio = F.when(~F.col("base_failed"), F.col("llr"))  # no filter, which would be pushed below the join
-    low, middle = judged(apart, weights, "_text", 0.0).agg(F.percentile(ratio, F.lit(0.01)), F.percentile(ratio, F.lit(0.5))).first()
-    return weights, float("-inf") if low is None else 2 * low - middle - MARGIN
+    others = small(chosen.where("NOT _fits").select("_id"))
+    apart = rows.join(others, F.col("_doc") == F.col("_id")).select("_text")
+    ratio = F.when(~F.col("base_failed"), F.col("llr")).alias("ratio")  # no filter, which would be pushed below the join
+    found = quantiles(materialize(judged(apart, weights, "_text", 0.0).select(ratio)), [0.01, 0.5])
+    return weights, float("-inf") if found is None else 2 * found[0] - found[1] - MARGIN
 
 
 def weight_table(weights: DataFrame) -> Column:
@@ -172,7 +212,7 @@ def judged(rows: DataFrame, weights: DataFrame, text: str, threshold: float) ->
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
 
 
-def quality_verdicts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = TRUSTED_SAMPLE) -> DataFrame:
+def quality_verdicts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, base columns, llr, kept): one row per row of ``docs``.
 
     ``trusted`` has ids in its first column; repeats and nulls are allowed. A
@@ -180,7 +220,7 @@ def quality_verdicts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     what fails them is 0, as is every ratio if there are no trusted documents.
     Repeated rows and null ids are decided one by one.
     """
-    weights, threshold = fit_rules(docs, trusted, id_col, text_col, sample)
+    weights, threshold = fit_rules(docs, trusted, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
     return judged(rows, weights, "_text", threshold).drop("_text")
 

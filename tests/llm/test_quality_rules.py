@@ -62,6 +62,23 @@ def test_ratio_equals_brute_force(spark):
             assert r["kept"] == (r["llr"] >= threshold)
 
 
+@pytest.mark.parametrize("values", [[], [0.5], [None, None], [1.0, 2.0], [3.25] * 9, [((i * 7919) % 997) / 313 - 1.5 for i in range(500)], [-2.0000004, -2.0, 0.0, 1e-7, 14.9]])
+def test_quantiles_equal_the_sorted_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "ratio double")
+    got, held = q.quantiles(df, [0.01, 0.5, 0.9]), [v for v in values if v is not None]
+    assert got == (pytest.approx(np.percentile(held, [1, 50, 90]).tolist(), abs=2e-6) if held else None)
+
+
+def test_large_sets_of_ids_are_joined(spark, monkeypatch):
+    """Beyond the bound of a broadcast the same verdicts come from a shuffle."""
+    docs = documents(spark)
+    trusted = docs.select("doc_id")
+    rows = lambda: sorted((r["doc_id"] or 0, round(r["llr"], 9), r["kept"]) for r in q.quality_verdicts(docs, trusted).collect())
+    want = rows()
+    monkeypatch.setattr(q, "BROADCAST_IDS", 0)
+    assert rows() == want
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     trusted = spark.createDataFrame([(1,), (3,), (7,), (8,)], "doc_id long")
