@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,8 +27,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
     Only on a local master, where driver and executors are one process, a
-    temporary folder stands in if the session names none, once for each process;
-    on a cluster that is an error.
+    temporary folder stands in if the session names none, once for each process
+    and gone with it; on a cluster that is an error.
     """
     global _own_scratch
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,7 +37,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if _own_scratch is None:
-        _own_scratch = "file://" + tempfile.mkdtemp(prefix="loomwork-")
+        folder = tempfile.mkdtemp(prefix="loomwork-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_scratch = f"file://{folder}"
     return _own_scratch
 
 

@@ -13,6 +13,7 @@ from loomwork.llm import (
     language_id,
     license_scan,
     mixing,
+    oracles,
     packing,
     quality_rules,
     resharding,
@@ -77,6 +78,26 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.classify_sites(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1's sizes and targets, which SQL can check."""
+    return op1_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+def reshard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6's rows, each with its size."""
+    return op6_reshard(spark, sf_dir).select("doc_id", "size", "law")
+
+
+def licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7's base columns."""
+    return op7_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's base columns."""
+    return op9_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,13 +117,16 @@ def _tuned(query: Query) -> Query:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (op1_mix, op2_embedding_dedup, op3_pack, op4_language_id, op5_extract, op6_reshard, op7_licenses, op8_simhash, op9_quality_rules, op10_site_quality)
-    return {f.__name__: _tuned(f) for f in (*operators, pipeline)}
+    return {f.__name__: _tuned(f) for f in (*operators, pipeline, mix_targets, reshard_sizes, licenses_base, quality_base)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL of the operators that SQL can express; the others have brute-force tests.
-
-    None has one: each result rests on 64-bit hashes, trained models or
-    iterations that DuckDB has no function for.
-    """
-    return {}
+    """SQL of the operators that SQL can express, and of columns of others; the rest have brute-force tests."""
+    return {
+        "op2_embedding_dedup": oracles.EMBEDDING_LINKS,
+        "op5_extract": oracles.MAIN_TEXT,
+        "mix_targets": oracles.MIX_TARGETS,
+        "reshard_sizes": oracles.RESHARD_SIZES,
+        "licenses_base": oracles.LICENSE_BASE,
+        "quality_base": oracles.QUALITY_BASE,
+    }
