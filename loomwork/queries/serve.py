@@ -183,8 +183,8 @@ _RATE = "CASE o_custkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 1.146 END"
     SELECT pid::VARCHAR AS id, 'G' || pid AS grant_id, 'Project ' || o_orderpriority AS title, nullif(upper(split_part(o_orderpriority, '-', 2)), '') AS acronym, 'https://p.example/' || pid AS website_url,
       strftime(o_orderdate, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date, CASE WHEN year(o_orderdate) BETWEEN 1950 AND 2040 THEN year(o_orderdate)::INTEGER END AS year,
       o_orderstatus = 'F' AS open_access_publications, o_orderstatus = 'P' AS open_access_datasets, coalesce(keywords, []) AS keywords, coalesce(subjects, []) AS subjects,
-      CASE o_custkey % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' ELSE 'XXX' END AS currency, round(o_totalprice, 2) AS funded_amount, round(o_totalprice / rate, 2) AS funded_amount_eur,
-      round(o_totalprice / rate / nullif(org_count, 0), 4) AS funded_eur_per_org, pid % 4 = 0 AS is_translated, pr > 0.55 AS is_ch, round(pr, 2) AS pred, coalesce(minority_ids, []) AS minority_ids, mask::INTEGER AS pillars,
+      CASE o_custkey % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' ELSE 'XXX' END AS currency, round(o_totalprice, 2) AS funded_amount, floor(o_totalprice / rate * 100) / 100 AS funded_amount_eur,
+      floor(o_totalprice / rate / nullif(org_count, 0) * 10000) / 10000 AS funded_eur_per_org, pid % 4 = 0 AS is_translated, pr > 0.55 AS is_ch, round(pr, 2) AS pred, coalesce(minority_ids, []) AS minority_ids, mask::INTEGER AS pillars,
       list_filter({list(_PILLARS)!r}, lambda x, i: (mask::INTEGER >> (i - 1)::INTEGER) & 1 = 1) AS pillar_list, CASE WHEN field_id <= 1 THEN 'small' WHEN domain_id = 1 THEN 'large' END AS theme,
       topic_id::VARCHAR AS topic_id, subfield_id::VARCHAR AS subfield_id, field_id::VARCHAR AS field_id, domain_id::VARCHAR AS domain_id, coalesce(org_ids, []) AS org_ids, coalesce(org_names, []) AS org_names,
       coalesce(org_regions, []) AS org_regions, coalesce(org_countries, []) AS org_countries, coalesce(coordinator_ids, []) AS coordinator_ids, coalesce(org_count, 0) AS org_count, coalesce(work_count, 0) AS work_count,
@@ -226,8 +226,8 @@ def projects_document(spark: SparkSession, sf_dir: str) -> DataFrame:
         "open_access_datasets": F.col("o_orderstatus") == "P",
         "currency": F.when(third == 0, "EUR").when(third == 1, "USD").otherwise("XXX"),
         "funded_amount": F.round(amount, 2),
-        "funded_amount_eur": F.round(amount / rate, 2),
-        "funded_eur_per_org": F.round(amount / rate / F.nullif(F.col("org_count"), F.lit(0)), 4),
+        "funded_amount_eur": F.floor(amount / rate * 100) / 100,  # cut, as engines round halves differently
+        "funded_eur_per_org": F.floor(amount / rate / F.nullif(F.col("org_count"), F.lit(0)) * 10000) / 10000,
         "is_translated": key % 4 == 0,
         "is_ch": pred > 0.55,
         "pred": F.round(pred, 2),
