@@ -323,21 +323,30 @@ def autocomplete_all(kinds: dict[str, DataFrame], prefix: str, size: int = 8) ->
 def typed_words_found(rows: DataFrame, id_col: str, name_col: str, rank: Column, asked: Column, words: list[int], size: int = 8) -> DataFrame:
     """(words, asked, found): of the names ``asked`` for by their first words, the last as a prefix, those among the first ``size``.
 
-    Names that can answer share the first typed word, or its first two letters where it is the only one.
+    ``id_col`` is unique. A typed text is answered once, however many names begin with it, and only the
+    first ``size`` names of equal words, and of each word (with the first typed word), can be among its answers.
     """
     w = analysed(F.col(name_col))
-    names = rows.select(F.col(id_col).alias("id"), rank.alias("rank"), w.alias("w"))
+
+    def first(df: DataFrame, by: list[str]) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc_nulls_last("rank"), "id"))
+        return df.withColumn("place", place).where(F.col("place") <= size).drop("place")
+
+    names = first(rows.select(F.col(id_col).alias("id"), rank.alias("rank"), F.array_distinct(F.array_sort(w)).alias("w")), ["w"])
+    tokens = names.select(F.explode("w").alias("token")).distinct()
+    begins = tokens.select("token", F.explode(F.transform(F.sequence(F.lit(1), F.length("token")), lambda n: F.substring("token", F.lit(1), n))).alias("last"))
     typed = rows.where(asked).select(F.col(id_col).alias("q_id"), w.alias("q"))
     out = []
     for k in words:
-        queries = typed.where(F.size("q") >= k).select("q_id", F.slice("q", 1, k - 1).alias("whole"), F.element_at("q", k).alias("last"))
-        key = F.element_at("whole", 1) if k > 1 else F.substring("last", 1, 2)
-        keys = F.explode(F.array_distinct(F.col("w") if k > 1 else F.transform("w", lambda x: F.substring(x, 1, 2))))
-        found = queries.withColumn("key", key).join(names.withColumn("key", keys), "key")
-        held = F.forall("whole", lambda x: F.array_contains("w", x)) & F.exists("w", lambda x: x.startswith(F.col("last")))
-        place = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc_nulls_last("rank"), "id"))
-        best = found.where(held).withColumn("place", place).where((F.col("place") <= size) & (F.col("id") == F.col("q_id")))
-        out.append(queries.agg(F.count("*").alias("asked")).join(best.agg(F.count("*").alias("found"))).select(F.lit(k).alias("words"), "asked", "found"))
+        queries = typed.where(F.size("q") >= k).select("q_id", F.slice("q", 1, k).alias("text"))
+        texts = queries.select("text").distinct().select("text", F.slice("text", 1, min(k - 1, 1)).alias("head"), F.element_at("text", k).alias("last")).join(begins, "last")
+        held = names.select("id", "rank", "w", F.explode("w").alias("token"))
+        held = held.select("*", F.explode(F.transform("w", lambda x: F.array(x)) if k > 1 else F.array(F.array().cast("array<string>"))).alias("head"))
+        held = first(held, ["head", "token"]) if k <= 2 else held
+        answers = texts.join(held, ["head", "token"]).where(F.forall(F.slice("text", 1, k - 1), lambda x: F.array_contains("w", x)))
+        best = first(answers.select("text", "id", "rank").distinct(), ["text"]).select("text", F.col("id").alias("q_id"))
+        found = queries.join(best, ["text", "q_id"])
+        out.append(queries.agg(F.count("*").alias("asked")).join(found.agg(F.count("*").alias("found"))).select(F.lit(k).alias("words"), "asked", "found"))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -437,3 +437,18 @@ def test_runner(spark, tmp_path):
     assert [s.name for s in runner.order(skip={"b"})] == ["a"]
     with pytest.raises(ValueError):
         Runner(spark, "x", [Stage("a", build("a"), ["b"]), Stage("b", build("b"), ["a"])]).order()
+
+
+def test_typed_words_found_answers_each_typed_text(spark):
+    """Against the plain rule; a first word of one letter also begins longer words."""
+    vocabulary = ["a", "ab", "abc", "b", "bolt", "blue", "東", "ring"]
+    names = [(i, " ".join(vocabulary[(i * m) % 8] for m in (1, 3, 5)[: 1 + i % 3]), None if i % 11 == 0 else i * 7 % 5) for i in range(200)]
+    df = spark.createDataFrame(names, "id long, name string, rank long")
+    got = {r["words"]: (r["asked"], r["found"]) for r in tq.typed_words_found(df, "id", "name", F.col("rank"), F.col("id") % 3 == 0, [1, 2, 3]).collect()}
+    order = sorted(names, key=lambda n: (n[2] is None, -(n[2] or 0), n[0]))
+    want = {}
+    for k in (1, 2, 3):
+        asked = [(i, name.split()[:k]) for i, name, _ in names if i % 3 == 0 and len(name.split()) >= k]
+        hits = lambda q: [i for i, name, _ in order if set(q[:-1]) <= set(name.split()) and any(x.startswith(q[-1]) for x in name.split())][:8]
+        want[k] = (len(asked), sum(i in hits(q) for i, q in asked))
+    assert got == want
