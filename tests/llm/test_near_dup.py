@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 
 from loomwork.llm import near_dup, simhash
@@ -89,3 +92,57 @@ def test_op8_awkward_rows(spark):
     assert by[1] == by[2] == {1} and by[4] == by[5] == by[6] == {4}
     assert by[8] == {8} and by[None] == {None}
     assert simhash.hamming_components(empty(spark)).count() == 0
+
+
+def test_the_stage_rests_on_simhash(spark, monkeypatch):
+    """Its fingerprints are SimHashes of the sets, and without the ring's budget nothing is linked."""
+    text = prose(3, 200)
+    hashes = [int(x) for x in near_dup.shingle_set(text)]
+    assert sorted(set(simhash.shingle_hashes(text, 5))) == hashes
+    plain = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert int(near_dup.wide_fingerprint(near_dup.shingle_set(text))[0]) == plain
+    other = near_dup.wide_fingerprint(near_dup.shingle_set(changed(text, 60)))
+    wide = np.stack([near_dup.wide_fingerprint(near_dup.shingle_set(text)), other]).T.copy()
+    two, n = np.zeros(2, dtype=np.int64), np.array([196, 196])
+    assert len(set(near_dup._groups(two, n, wide).tolist())) == 1
+    monkeypatch.setattr(near_dup, "RADIUS", -1)
+    assert len(set(near_dup._groups(two, n, wide).tolist())) == 2
+
+
+def test_every_pair_within_the_radius_has_a_start():
+    rng = random.Random(2)
+    for _ in range(500):
+        d = sum(1 << b for b in rng.sample(range(256), rng.randrange(0, near_dup.RADIUS + 1)))
+        wide = np.array([[0, d >> 64 * i & (1 << 64) - 1] for i in range(near_dup.RING)], dtype=np.uint64)
+        a, b = np.array([0]), np.array([1])
+        assert any(len(near_dup._chained(wide, a, b, s)) for s in range(near_dup.RING))
+
+
+@pytest.mark.parametrize("off", [39, 48])
+def test_tables_bring_pairs_together(off):
+    """Planted pairs at the distance of similarity 0.8 and beyond, among others; strangers stay apart."""
+    rng = np.random.default_rng(off)
+    pairs = 3000
+    left = rng.integers(0, 1 << 64, (near_dup.RING, pairs), dtype=np.uint64)
+    flips = np.zeros((pairs, 256), dtype=np.uint8)
+    for row in flips:
+        row[rng.choice(256, off, replace=False)] = 1
+    right = left ^ np.packbits(flips, axis=1, bitorder="little").view("<u8").T
+    wide = np.ascontiguousarray(np.concatenate([left, right], axis=1))
+    group = near_dup._groups(np.zeros(2 * pairs, dtype=np.int64), np.full(2 * pairs, 100), wide)
+    met = group[:pairs] == group[pairs:]
+    assert met.mean() >= 0.995 and len(set(group.tolist())) == 2 * pairs - met.sum()
+
+
+@pytest.mark.parametrize("few,block", [(512, 5), (0, 100_000)])
+def test_blocks_and_tables_in_the_stage(spark, monkeypatch, few, block):
+    """Classes of several blocks, and tables in small cells, find what all pairs find."""
+    monkeypatch.setattr(near_dup, "BRUTE", few)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    texts = []
+    for seed in range(10):
+        base = prose(seed + 50, 150 + 5 * seed)
+        texts += [base, changed(base, 60), changed(base, 40), base + " " + prose(seed + 500, 20)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_components(docs).collect()}
+    assert got == dict(enumerate(want := brute(texts))) and len(set(want)) < len(texts)
