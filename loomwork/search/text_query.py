@@ -339,14 +339,17 @@ def typed_words_found(rows: DataFrame, id_col: str, name_col: str, rank: Column,
     out = []
     for k in words:
         queries = typed.where(F.size("q") >= k).select("q_id", F.slice("q", 1, k).alias("text"))
-        texts = queries.select("text").distinct().select("text", F.slice("text", 1, min(k - 1, 1)).alias("head"), F.element_at("text", k).alias("last")).join(begins, "last")
+        texts = queries.select("text").distinct().select("text", F.slice("text", 1, min(k - 1, 1)).alias("head"), F.element_at("text", k).alias("last"))
+        asked_of = begins.join(texts.select("last").distinct(), "last", "left_semi")
         held = names.select("id", "rank", "w", F.explode("w").alias("token"))
         held = held.select("*", F.explode(F.transform("w", lambda x: F.array(x)) if k > 1 else F.array(F.array().cast("array<string>"))).alias("head"))
         held = first(held, ["head", "token"]) if k <= 2 else held
-        answers = texts.join(held, ["head", "token"]).where(F.forall(F.slice("text", 1, k - 1), lambda x: F.array_contains("w", x)))
-        best = first(answers.select("text", "id", "rank").distinct(), ["text"]).select("text", F.col("id").alias("q_id"))
-        found = queries.join(best, ["text", "q_id"])
-        out.append(queries.agg(F.count("*").alias("asked")).join(found.agg(F.count("*").alias("found"))).select(F.lit(k).alias("words"), "asked", "found"))
+        answers = held.join(asked_of, "token").join(texts, ["head", "last"])
+        if k > 2:  # head is all that stands before the last of two words
+            answers = answers.where(F.forall(F.slice("text", 1, k - 1), lambda x: F.array_contains("w", x)))
+        best = first(answers.select("text", "id", "rank").distinct(), ["text"]).select("text", F.col("id").alias("q_id"), F.lit(True).alias("hit"))
+        found = queries.join(best, ["text", "q_id"], "left")
+        out.append(found.agg(F.count("*").alias("asked"), F.count("hit").alias("found")).select(F.lit(k).alias("words"), "asked", "found"))
     return reduce(DataFrame.unionByName, out)
 
 
